@@ -35,17 +35,11 @@ def is_kind(value: Column, *kinds: str) -> Column:
 def to_int(value: Column) -> Column:
     """Whole number: text must spell an integer, a JSON number is truncated."""
     digits = F.replace(F.regexp_extract(as_text(value), INT_TEXT, 1), F.lit("_"), F.lit(""))
-    return (
-        F.when(is_kind(value, "STRING"), digits.try_cast("int"))
-        .when(is_kind(value, "BOOLEAN"), F.try_variant_get(value, "$", "boolean").cast("int"))
-        .otherwise(F.try_variant_get(value, "$", "double").try_cast("int"))
-    )
+    number = F.try_variant_get(value, "$", "double").try_cast("int")
+    return F.when(is_kind(value, "STRING"), digits.try_cast("int")).otherwise(number)
 
 
 def to_float(value: Column) -> Column:
     digits = F.replace(F.regexp_extract(as_text(value), FLOAT_TEXT, 1), F.lit("_"), F.lit(""))
-    return (
-        F.when(is_kind(value, "STRING"), digits.try_cast("double"))
-        .when(is_kind(value, "BOOLEAN"), F.try_variant_get(value, "$", "boolean").cast("double"))
-        .otherwise(F.try_variant_get(value, "$", "double"))
-    )
+    number = F.try_variant_get(value, "$", "double")
+    return F.when(is_kind(value, "STRING"), digits.try_cast("double")).otherwise(number)

@@ -12,11 +12,13 @@ REQUIRED = {
 
 # Runtime re-planning: coalesce small partitions, split skewed ones. Splitting a skewed
 # join is worth an extra shuffle when one key holds a large part of the rows.
-ADAPTIVE = {
+EXECUTION = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # The JVM never compiles a longer method; the page parser's would be.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -33,7 +35,7 @@ def build_session(
         builder = builder.master(master)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in {**REQUIRED, **ADAPTIVE, **extra}.items():
+    for key, value in {**REQUIRED, **EXECUTION, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.functions.once import computed_once
 from lotwise.operators.latest import first_seen
 from lotwise.schemas import LISTING
 
@@ -48,11 +49,15 @@ def find_typed_node(payload: Column, typename: str = SEARCH_NODE) -> Column:
 
 
 def parse_listings(listings: DataFrame, payload_col: str = "payload") -> DataFrame:
-    """Adds ``search`` (the search result, parsed) and ``reject_reason``."""
+    """``search`` (the search result, parsed) and ``reject_reason`` in place of the payload."""
     node = listings.withColumn("search_json", find_typed_node(F.col(payload_col)))
-    parsed = node.withColumn("search", F.from_json("search_json", LISTING))
     reason = F.when(F.col("search_json").isNull(), "no_search_node")
-    return parsed.withColumn("reject_reason", reason).drop("search_json")
+    return computed_once(
+        node,
+        *[c for c in listings.columns if c != payload_col],
+        F.from_json("search_json", LISTING).alias("search"),
+        reason.alias("reject_reason"),
+    )
 
 
 def listing_urls(parsed: DataFrame, keep: list[str]) -> DataFrame:

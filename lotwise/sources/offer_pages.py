@@ -6,11 +6,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotwise.functions.coerce import as_text, is_kind, to_float, to_int
+from lotwise.functions.once import computed_once
 from lotwise.schemas import OBSERVATION_COLUMNS
 
 # Where the pages keep their data.
 SCRIPT_ID = "__NEXT_DATA__"
-ADVERT_PATH = "$[0].props.pageProps.advert"
+PAGE_DOCUMENTS = (
+    "array<struct<props struct<pageProps struct<advert struct<"
+    "id variant, url variant, title variant, price struct<value variant, currency variant>, "
+    "parametersDict struct<make variant, model variant, year variant, mileage variant, "
+    "fuel_type variant, gearbox variant>>>>>>"
+)
 PARAMETERS = [
     # column, parameter name, field of its first value
     ("brand", "make", "label"),
@@ -44,13 +50,29 @@ def extract_page_json(pages: DataFrame, html_col: str = "html") -> DataFrame:
     return pages.withColumn("page_json", page_json(F.col(html_col)))
 
 
-def parameter(advert: Column, name: str, field: str) -> Column:
-    """Field of a parameter's first value as VARIANT; NULL where any step is missing."""
-    return F.try_variant_get(advert, f"$.parametersDict.{name}.values[0].{field}", "variant")
+def parameter(entry: Column) -> Column:
+    """Members of a parameter's first value; NULL where any step to it is missing."""
+    return F.try_variant_get(entry, "$.values[0]", "map<string,variant>")
+
+
+def _malformed(entry: Column) -> Column:
+    """True where a parameter is not an object, its values are not a list, or the first of
+    them is not an object."""
+    values = F.try_variant_get(entry, "$.values", "variant")
+    first = F.try_variant_get(entry, "$.values[0]", "variant")
+    return _not_a(entry, "OBJECT") | _not_a(values, "ARRAY") | (first.isNotNull() & ~is_kind(first, "OBJECT"))
+
+
+def _not_a(value: Column, kind: str) -> Column:
+    """There, not empty (null, "", 0, false, [] and {} are), and of another kind."""
+    empty = F.coalesce(as_text(value).isin("", "0", "false", "[]", "{}"), F.lit(False))
+    return value.isNotNull() & ~is_kind(value, kind, "VOID") & ~empty
 
 
-def parse_pages(pages: DataFrame, run_id: Column, observed_at_col: str = "observed_at", html_col: str = "html") -> DataFrame:
-    """All columns of ``pages``, the observation columns and ``reject_reason``, which is
+def parse_pages(
+    pages: DataFrame, run_id: Column, observed_at_col: str = "observed_at", html_col: str = "html"
+) -> DataFrame:
+    """Other columns of ``pages``, the observation columns and ``reject_reason``, which is
     NULL for usable pages. No page stops the job."""
     taken = [c for c in pages.columns if c not in OBSERVATION_COLUMNS and c != html_col]
     found = pages.select(
@@ -60,95 +82,76 @@ def parse_pages(pages: DataFrame, run_id: Column, observed_at_col: str = "observ
         page_json(F.col(html_col)).alias("json"),
     )
     # In an array, text after the JSON value does not parse, or shows as a second element.
-    document = F.try_parse_json(F.concat(F.lit("["), F.col("json"), F.lit("]")))
-    parsed = found.withColumn("document", document)
-    parsed = parsed.withColumn("advert", F.try_variant_get("document", ADVERT_PATH, "variant"))
-
-    advert = F.col("advert")
-
-    def member(path: str) -> Column:
-        return F.try_variant_get(advert, path, "variant")
-
+    text = F.concat(F.lit("["), F.col("json"), F.lit("]"))
+    documents = F.from_json(text, PAGE_DOCUMENTS, {"allowSingleQuotes": "false"})
+    parsed = found.withColumn("documents", documents)
+    advert = F.col("documents")[0]["props"]["pageProps"]["advert"]
+    names = [name for _, name, _ in PARAMETERS]
+    entries = {name: advert["parametersDict"][name] for name in names}
     fields = parsed.select(
         *taken,
         "observed_at",
         "scrape_run_id",
         "json",
-        "document",
-        "advert",
-        member("$.id").alias("id"),
-        member("$.url").alias("url"),
-        member("$.title").alias("title"),
-        member("$.price.value").alias("price"),
-        member("$.price.currency").alias("currency"),
-        member("$.parametersDict").alias("parameters"),
-        *[parameter(advert, name, field).alias(f"p_{column}") for column, name, field in PARAMETERS],
-        _malformed_parameter(advert).alias("malformed"),
+        (F.size("documents") == 1).alias("one_document"),
+        advert.alias("advert"),
+        F.array(*entries.values()).alias("entries"),
+        *[parameter(entries[name]).alias(f"p_{name}") for name in names],
+    )
+    # Most pages have all parameters, which shows that these are well formed.
+    some_absent = F.greatest(*[F.col(f"p_{name}").isNull() for name in names])
+    typed = fields.withColumns(
+        {
+            "year": to_int(F.col("p_year")["value"]),
+            "mileage_km": to_int(F.col("p_mileage")["value"]),
+            "price_amount": to_float(F.col("advert.price.value")),
+            "malformed": F.when(some_absent, F.exists("entries", _malformed)).otherwise(F.lit(False)),
+        }
     )
-    year, mileage, amount = to_int(F.col("p_year")), to_int(F.col("p_mileage_km")), to_float(F.col("price"))
-    typed = fields.withColumns({"year": year, "mileage_km": mileage, "price_amount": amount})
 
-    def absent(*columns: str) -> Column:
-        return F.greatest(*[F.col(c).isNull() for c in columns])
+    def absent(*members: str) -> Column:
+        return F.greatest(*[F.col(f"advert.{m}").isNull() for m in members])
 
-    def null_text(*columns: str) -> Column:
-        return F.greatest(*[as_text(F.col(c)).isNull() for c in columns])
+    def null_text(*members: str) -> Column:
+        return F.greatest(*[as_text(F.col(f"advert.{m}")).isNull() for m in members])
 
-    second = F.try_variant_get("document", "$[1]", "variant")
     reason = (
         F.when(F.col("json").isNull(), "no_page_json")
-        .when(F.col("document").isNull() | second.isNotNull(), "bad_json")
-        .when(~is_kind(advert, "OBJECT"), "no_advert")
-        .when(absent("id", "url", "title", "price", "currency", "parameters"), "missing_key")
+        .when(~F.coalesce("one_document", F.lit(False)), "bad_json")
+        .when(F.col("advert").isNull(), "no_advert")
+        # A JSON null is a value here, an absent member is not.
+        .when(absent("id", "url", "title", "price.value", "price.currency"), "missing_key")
         .when(null_text("id", "url", "title"), "null_text")
-        .when(~is_kind(F.col("parameters"), "OBJECT") | F.col("malformed"), "bad_parameters")
+        .when(F.col("advert.parametersDict").isNull() | F.col("malformed"), "bad_parameters")
         .when(F.col("year").isNull(), "bad_year")
         .when(F.col("mileage_km").isNull(), "bad_mileage")
         .when(F.col("price_amount").isNull(), "bad_price")
     )
-    return typed.select(
+    texts = {
+        column: as_text(F.col(f"p_{name}")[field]).alias(column)
+        for column, name, field in PARAMETERS
+        if column not in ("year", "mileage_km")
+    }
+    return computed_once(
+        typed,
         *taken,
-        as_text(F.col("id")).alias("source_offer_id"),
-        as_text(F.col("url")).alias("url"),
-        as_text(F.col("title")).alias("title"),
-        as_text(F.col("p_brand")).alias("brand"),
-        as_text(F.col("p_model")).alias("model"),
+        as_text(F.col("advert.id")).alias("source_offer_id"),
+        as_text(F.col("advert.url")).alias("url"),
+        as_text(F.col("advert.title")).alias("title"),
+        texts["brand"],
+        texts["model"],
         "year",
         "mileage_km",
-        as_text(F.col("p_fuel_type")).alias("fuel_type"),
-        as_text(F.col("p_transmission")).alias("transmission"),
+        texts["fuel_type"],
+        texts["transmission"],
         "price_amount",
-        as_text(F.col("currency")).alias("price_currency"),
+        as_text(F.col("advert.price.currency")).alias("price_currency"),
         "observed_at",
         "scrape_run_id",
         reason.alias("reject_reason"),
     )
 
 
-def _malformed_parameter(advert: Column) -> Column:
-    """True where a parameter is there but is not of the expected shape: not an object, its
-    values not a list, or the first of them not an object. Empty ones count as absent."""
-    wrong = F.lit(False)
-    for _, name, _ in PARAMETERS:
-        path = f"$.parametersDict.{name}"
-        entry = F.try_variant_get(advert, path, "variant")
-        values = F.try_variant_get(advert, f"{path}.values", "variant")
-        first = F.try_variant_get(advert, f"{path}.values[0]", "variant")
-        wrong = (
-            wrong
-            | _not_a(entry, "OBJECT")
-            | _not_a(values, "ARRAY")
-            | (first.isNotNull() & ~is_kind(first, "OBJECT"))
-        )
-    return wrong
-
-
-def _not_a(value: Column, kind: str) -> Column:
-    """There, not empty (null, "", 0 and false are), and of another kind."""
-    empty = F.coalesce(as_text(value).isin("", "0", "false", "[]", "{}"), F.lit(False))
-    return value.isNotNull() & ~is_kind(value, kind, "VOID") & ~empty
-
-
 def pages_to_observations(
     pages: DataFrame, run_id: Column, observed_at_col: str = "observed_at", html_col: str = "html"
 ) -> tuple[DataFrame, DataFrame]:

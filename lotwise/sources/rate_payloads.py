@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.functions.once import computed_once
 from lotwise.schemas import RATE_COLUMNS, RATE_PAYLOAD
 
 # Fixed values.
@@ -37,7 +38,7 @@ def parse_rates(payloads: DataFrame, strict: bool = False) -> tuple[DataFrame, D
         .when(F.col("rate_to_pln") <= 0, "non_positive_rate")
         .when(F.col("effective_date").isNull(), "bad_date")
     )
-    checked = rate.withColumn("reject_reason", reason)
+    checked = computed_once(rate, *rate.columns, reason.alias("reject_reason"))
     usable = F.col("reject_reason").isNull()
     if strict:
         refuse = F.raise_error(F.concat(F.lit("rate payload rejected: "), F.col("reject_reason"))).cast("boolean")
