@@ -85,7 +85,7 @@ def parse_pages(
     text = F.concat(F.lit("["), F.col("json"), F.lit("]"))
     documents = F.from_json(text, PAGE_DOCUMENTS, {"allowSingleQuotes": "false"})
     parsed = found.withColumn("documents", documents)
-    advert = F.col("documents")[0]["props"]["pageProps"]["advert"]
+    advert = F.get("documents", F.lit(0))["props"]["pageProps"]["advert"]
     names = [name for _, name, _ in PARAMETERS]
     entries = {name: advert["parametersDict"][name] for name in names}
     fields = parsed.select(

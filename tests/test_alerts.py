@@ -1,0 +1,104 @@
+import random
+
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from lotwise.functions.render import float_text
+from lotwise.plans import alerts
+from tests.samples import at, observations
+
+
+def _latest_message(spark, rows):
+    return alerts.latest_digest(alerts.latest_observations(observations(spark, *rows))).first().message
+
+
+def test_latest_message(spark):
+    rows = [
+        {"source_offer_id": "a", "title": "old", "observed_at": at("2024-01-01 00:00:00")},
+        {"source_offer_id": "b", "title": "new", "observed_at": at("2024-01-02 00:00:00"), "brand": None,
+         "mileage_km": None, "price_amount": 12345678.0},
+        {"source_offer_id": "c", "title": "bare", "observed_at": at("2023-01-01 00:00:00"), "brand": None, "model": None,
+         "year": None, "price_amount": None, "price_currency": None, "url": ""},
+    ]
+    assert _latest_message(spark, rows) == (
+        "Top 10 latest offers\n"
+        "1. new — m 2010 | 12345678.0 PLN\nhttps://market.example/offer/1\n"
+        "2. old — b m 2010 | 1000 km | 100.0 PLN\nhttps://market.example/offer/1\n"
+        "3. bare —  | 1000 km | \n"
+    )
+
+
+def test_nothing_observed(spark):
+    assert _latest_message(spark, []) == "No offers have been observed yet."
+
+
+def test_message_stops_before_the_limit(spark):
+    def line(i, title):
+        return f"{i}. {title} — b m 2010 | 1000 km | 100.0 PLN\nhttps://market.example/offer/1"
+
+    room = 2000 - len("Top 10 latest offers") - 1 - len(line(1, ""))
+    for extra, kept in ((0, 1), (1, 0)):
+        rows = [
+            {"source_offer_id": "a", "title": "ż" * (room + extra), "observed_at": at("2024-01-02 00:00:00")},
+            {"source_offer_id": "b", "title": "short", "observed_at": at("2024-01-01 00:00:00")},
+        ]
+        message = _latest_message(spark, rows)
+        # The first line that does not fit ends the message, also when a later one would fit.
+        assert message.count("\n") == 2 * kept and len(message) == (2000 if kept else 20)
+
+
+def test_ten_per_run_in_one_job(spark):
+    rows = [
+        {"scrape_run_id": run, "source_offer_id": f"{i:02}", "observed_at": at(f"2024-01-01 00:00:{i:02}")}
+        for run in ("run-1", "run-2")
+        for i in range(15)
+    ]
+    random.Random(1).shuffle(rows)
+    top = alerts.latest_in_runs(observations(spark, *rows)).collect()
+    assert sorted((r.scrape_run_id, r["rank"]) for r in top) == [(f"run-{k}", i) for k in (1, 2) for i in range(1, 11)]
+
+
+def test_run_messages(spark):
+    rows = [
+        {"title": "two\nlines " + "x" * 60, "url": "u" * 100, "observed_at": at("2024-01-02 00:00:00")},
+        {"source_offer_id": "2", "title": "", "brand": "", "model": None, "year": None, "mileage_km": None,
+         "price_amount": None, "price_currency": "", "url": ""},
+    ]
+    runs = spark.createDataFrame([("run-1", 2, 61.25), ("run-2", 0, 3.0)], "scrape_run_id string, rows_loaded long, duration_seconds double")
+    latest = alerts.latest_in_runs(observations(spark, *rows))
+    found = {r.scrape_run_id: r.message for r in alerts.run_digests(runs, latest, job="Car", store="Spark").collect()}
+    title = ("two lines " + "x" * 60)[:55]
+    assert found["run-1"] == (
+        "✅ Car completed\nScrape run: `run-1`\nRows loaded into Spark: 2\nDuration: 61.3s\n\nLatest offers:\n"
+        f"1. {title} — b m 2010 | 100.0 PLN | 1000 km\n{'u' * 80}\n"
+        "2. Untitled offer — price unavailable | mileage unavailable"
+    )
+    assert found["run-2"].endswith("Duration: 3.0s\n\nLatest offers:\nNo offers found in this scrape run.")
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(
+        st.one_of(
+            st.floats(0, 1e8).map(lambda x: round(x, 2)),
+            st.integers(-(10**9), 10**9).map(float),
+            st.integers(0, 10**6).map(lambda i: i / 10**9),
+        ),
+        min_size=20,
+        max_size=100,
+    )
+)
+def test_numbers_read_as_plain_digits(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", float_text(F.col("v")).alias("text"))
+    for row in df.collect():
+        # The digits may differ where the JVM does not print the shortest ones.
+        assert float(row.text) == row.v and ("e" in row.text) == ("e" in repr(row.v))
+
+
+def test_special_numbers(spark):
+    values = [0.0, -0.0, 1.0, 0.5, 1e7, 123456789.25, 1e15, 1e16, 1.5e17, 1e-3, 1e-4, 1.5e-4, 1e-5, 2.5e-7, 1e100,
+              -12345678.0, float("inf"), float("-inf"), float("nan")]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    texts = [r.t for r in df.select("i", float_text(F.col("v")).alias("t")).orderBy("i").collect()]
+    assert texts == [repr(v) for v in values]
