@@ -13,7 +13,7 @@ from lotwise.schemas import OBSERVATION_COLUMNS
 SCRIPT_ID = "__NEXT_DATA__"
 PAGE_DOCUMENTS = (
     "array<struct<props struct<pageProps struct<advert struct<"
-    "id variant, url variant, title variant, price struct<value variant, currency variant>, "
+    "id string, url string, title string, price map<string, variant>, "
     "parametersDict struct<make variant, model variant, year variant, mileage variant, "
     "fuel_type variant, gearbox variant>>>>>>"
 )
@@ -27,23 +27,29 @@ PARAMETERS = [
     ("transmission", "gearbox", "value"),
 ]
 
+# All repeats are possessive: Java matches those in a loop, without a stack frame each.
 ATTRIBUTES = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
-# Comments and elements whose content is text, each taken whole, so that a tag inside a
-# comment or inside another script is not mistaken for an element of the page.
-TEXT_ELEMENTS = (
-    r"(?s)<!--.*?(?:-->|\z)"
-    rf"|<(?i:(script|style|textarea|title))\b{ATTRIBUTES}>.*?(?:(?i:</\1)[\s/>]|\z)"
+BEFORE_ID = r"""(?:(?!\s(?i:id)\s*=)(?:[^>"']|"[^"]*+"|'[^']*+'))*+"""
+IS_DATA = rf"""\s(?i:id)\s*=\s*(?:"{SCRIPT_ID}"|'{SCRIPT_ID}'|{SCRIPT_ID}(?=[\s>/]))"""
+DATA_SCRIPT = rf"<(?i:script)\b{BEFORE_ID}{IS_DATA}{ATTRIBUTES}"
+COMMENT = r"<!--[^-]*+(?:-(?!->)[^-]*+)*+(?:-->|\z)"
+TEXT_ELEMENT = (
+    rf"<(?i:(script|style|textarea|title))\b{ATTRIBUTES}>"
+    r"[^<]*+(?:<(?!/(?i:\1)[\s/>])[^<]*+)*+(?:</(?i:\1)[\s/>]|\z)"
+)
+# Up to the first data script. Comments and elements whose content is text are taken whole
+# on the way, so that a tag inside one is not mistaken for an element of the page.
+PAGE_JSON = (
+    rf"(?s)\A(?:(?!{DATA_SCRIPT}>)(?:[^<]++|{COMMENT}|{TEXT_ELEMENT}|<))*+{DATA_SCRIPT}"
+    r"(>[^<]*+(?:<(?!/(?i:script)[\s/>])[^<]*+)*+)"
 )
-OPEN_SCRIPT = rf"(?s)^<(?i:script)\b{ATTRIBUTES}>"
-SCRIPT_TEXT = rf"(?s)^<(?i:script)\b{ATTRIBUTES}>(.*?)(?:(?i:</script)[\s/>])?\z"
-HAS_ID = rf"""\s(?i:id)\s*=\s*(?:"{SCRIPT_ID}"|'{SCRIPT_ID}'|{SCRIPT_ID}(?=[\s>/]))"""
 
 
 def page_json(html: Column) -> Column:
     """Text of the page's first script with the data id; NULL if there is none."""
-    elements = F.regexp_extract_all(html, F.lit(TEXT_ELEMENTS), F.lit(0))
-    data = F.filter(elements, lambda element: F.regexp_extract(element, OPEN_SCRIPT, 0).rlike(HAS_ID))
-    return F.regexp_extract(F.get(data, F.lit(0)), SCRIPT_TEXT, 1)
+    # The match holds the end of the tag, so that an empty script is not taken for none.
+    found = F.regexp_extract(html, PAGE_JSON, 2)
+    return F.when(found != "", F.substr(found, F.lit(2)))
 
 
 def extract_page_json(pages: DataFrame, html_col: str = "html") -> DataFrame:
@@ -95,33 +101,30 @@ def parse_pages(
         "json",
         (F.size("documents") == 1).alias("one_document"),
         advert.alias("advert"),
-        F.array(*entries.values()).alias("entries"),
         *[parameter(entries[name]).alias(f"p_{name}") for name in names],
     )
     # Most pages have all parameters, which shows that these are well formed.
     some_absent = F.greatest(*[F.col(f"p_{name}").isNull() for name in names])
+    found_entries = F.array(*[F.col(f"advert.parametersDict.{name}") for name in names])
     typed = fields.withColumns(
         {
             "year": to_int(F.col("p_year")["value"]),
             "mileage_km": to_int(F.col("p_mileage")["value"]),
-            "price_amount": to_float(F.col("advert.price.value")),
-            "malformed": F.when(some_absent, F.exists("entries", _malformed)).otherwise(F.lit(False)),
+            "price_amount": to_float(F.col("advert.price")["value"]),
+            "malformed": F.when(some_absent, F.exists(found_entries, _malformed)).otherwise(F.lit(False)),
         }
     )
 
     def absent(*members: str) -> Column:
         return F.greatest(*[F.col(f"advert.{m}").isNull() for m in members])
 
-    def null_text(*members: str) -> Column:
-        return F.greatest(*[as_text(F.col(f"advert.{m}")).isNull() for m in members])
-
+    price = F.col("advert.price")
     reason = (
         F.when(F.col("json").isNull(), "no_page_json")
         .when(~F.coalesce("one_document", F.lit(False)), "bad_json")
         .when(F.col("advert").isNull(), "no_advert")
-        # A JSON null is a value here, an absent member is not.
-        .when(absent("id", "url", "title", "price.value", "price.currency"), "missing_key")
-        .when(null_text("id", "url", "title"), "null_text")
+        # The currency may be null but must be named.
+        .when(absent("id", "url", "title", "price") | price["value"].isNull() | price["currency"].isNull(), "missing_key")
         .when(F.col("advert.parametersDict").isNull() | F.col("malformed"), "bad_parameters")
         .when(F.col("year").isNull(), "bad_year")
         .when(F.col("mileage_km").isNull(), "bad_mileage")
@@ -135,9 +138,9 @@ def parse_pages(
     return computed_once(
         typed,
         *taken,
-        as_text(F.col("advert.id")).alias("source_offer_id"),
-        as_text(F.col("advert.url")).alias("url"),
-        as_text(F.col("advert.title")).alias("title"),
+        F.col("advert.id").alias("source_offer_id"),
+        "advert.url",
+        "advert.title",
         texts["brand"],
         texts["model"],
         "year",
@@ -145,7 +148,7 @@ def parse_pages(
         texts["fuel_type"],
         texts["transmission"],
         "price_amount",
-        as_text(F.col("advert.price.currency")).alias("price_currency"),
+        as_text(price["currency"]).alias("price_currency"),
         "observed_at",
         "scrape_run_id",
         reason.alias("reject_reason"),

@@ -117,7 +117,7 @@ REJECTED = [
     (page(without("price")), "missing_key"),
     (page(advert(price={"value": 1})), "missing_key"),
     (page(advert(price=5)), "missing_key"),
-    (page(advert(title=None)), "null_text"),
+    (page(advert(title=None)), "missing_key"),
     (page(advert(parametersDict=None)), "bad_parameters"),
     (page(without("parametersDict")), "bad_parameters"),
     (page(parameters(make="text")), "bad_parameters"),
@@ -150,6 +150,8 @@ def test_reject_reasons(spark):
         ('<script id="__NEXT_DATA__">1</script><script id="__NEXT_DATA__">2</script>', "1"),
         ('<script data-a="x>y" id="__NEXT_DATA__">{"a":"<b></b>"}</script>', '{"a":"<b></b>"}'),
         ('<style>p > b {}</style><script id="__NEXT_DATA__">{"open": 1}', '{"open": 1}'),
+        ("<" * 200_000 + "<script " + "a " * 100_000 + "id=__NEXT_DATA__>" + "<b" * 200_000 + "</script>", "<b" * 200_000),
+        ("<!--" + "- " * 200_000 + "--><script>" + "</b>" * 200_000 + "</script><script id=__NEXT_DATA__>1</script>", "1"),
         ("<p>" + "x" * 200_000 + "</p><script id='__NEXT_DATA__'>" + "7" * 200_000 + "</script>", "7" * 200_000),
     ],
 )

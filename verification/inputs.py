@@ -80,16 +80,23 @@ FROM (SELECT *, CAST(source_offer_id AS BIGINT) % 37 AS shape FROM obs) AS shape
 LEDGER_BEFORE = "run-1996-01"
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+def _table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
+    """A given table. One in fewer files than there are threads would be read, and all that
+    follows done, by as few tasks; its rows are then spread by ``keys``."""
+    table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    threads = spark.sparkContext.defaultParallelism
+    if keys and len(table.inputFiles()) < threads:
+        return table.repartition(threads, *keys)
+    return table
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(OBS, lineitem=_table(spark, sf_dir, "lineitem"), part=_table(spark, sf_dir, "part"))
+    lineitem = _table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber")
+    return spark.sql(OBS, lineitem=lineitem, part=_table(spark, sf_dir, "part"))
 
 
 def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(RATES, orders=_table(spark, sf_dir, "orders"))
+    return spark.sql(RATES, orders=_table(spark, sf_dir, "orders", "o_orderkey"))
 
 
 def ledger(observed: DataFrame) -> DataFrame:
