@@ -96,7 +96,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def rates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.sql(RATES, orders=_table(spark, sf_dir, "orders", "o_orderkey"))
+    return spark.sql(RATES, orders=_table(spark, sf_dir, "orders"))
 
 
 def ledger(observed: DataFrame) -> DataFrame:
@@ -185,7 +185,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rate_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A payload per fetch with the rate before it and the rate of that fetch; some ask for
     one currency and hold another, some hold a zero rate."""
-    fetched = rates(spark, sf_dir)
+    fetched = spark.sql(RATES, orders=_table(spark, sf_dir, "orders", "o_orderkey"))
     key = F.split("source_table", "/")[0].cast("int")
     entry = '{"no":"%s","effectiveDate":"%s","mid":%s}'
     older = F.format_string(entry, F.lit("0/A/NBP"), F.lit("1990-01-01"), F.lit("9.5"))

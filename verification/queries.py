@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,24 +28,31 @@ class Models:
         self.spark = spark
         self.sf_dir = sf_dir
 
+    @cache
     def obs(self) -> DataFrame:
         return inputs.observations(self.spark, self.sf_dir)
 
+    @cache
     def rates(self) -> DataFrame:
         return inputs.rates(self.spark, self.sf_dir)
 
+    @cache
     def latest(self) -> DataFrame:
         return staging.latest_rates(staging.upper_rates(self.rates()))
 
+    @cache
     def stg(self) -> DataFrame:
         return staging.stg_observations(self.obs())
 
+    @cache
     def fct(self) -> DataFrame:
         return marts.fct_offer_observations(self.stg())
 
+    @cache
     def dim(self) -> DataFrame:
         return marts.dim_offers(self.stg(), self.latest())
 
+    @cache
     def daily(self) -> DataFrame:
         return marts.agg_daily(self.fct(), MONEY_SCALE)
 
@@ -63,29 +71,27 @@ class Models:
     def distribution(self) -> DataFrame:
         return reports.rpt_price_distribution(self.dim())
 
-    def tables(self) -> dict[str, DataFrame]:
-        dim = self.dim()
+    def table(self, name: str) -> DataFrame:
         return {
-            "offers_observations": self.obs(),
-            "currency_rates": self.rates(),
-            "stg__currency_rates": staging.stg_rates(self.rates()),
-            "dim__offers": dim,
-            "fct__offer_observations": self.fct(),
-            "agg__offers_by_brand": marts.agg_by_brand(dim),
-            "agg__offers_by_fuel_type": marts.agg_by_fuel(dim),
-            "agg__daily_offer_observations": self.daily(),
-            "rpt__brand_inventory": self.brand(),
-            "rpt__fuel_type": self.fuel(),
-            "rpt__marketplace_overview": self.overview(),
-            "rpt__mileage_vs_price": self.mileage(),
-            "rpt__price_distribution_by_vehicle": self.distribution(),
-        }
+            "offers_observations": self.obs,
+            "currency_rates": self.rates,
+            "stg__currency_rates": lambda: staging.stg_rates(self.rates()),
+            "dim__offers": self.dim,
+            "fct__offer_observations": self.fct,
+            "agg__offers_by_brand": lambda: marts.agg_by_brand(self.dim()),
+            "agg__offers_by_fuel_type": lambda: marts.agg_by_fuel(self.dim()),
+            "agg__daily_offer_observations": self.daily,
+            "rpt__marketplace_overview": self.overview,
+            "rpt__mileage_vs_price": self.mileage,
+            "rpt__price_distribution_by_vehicle": self.distribution,
+        }[name]()
 
 
 def _checks(m: Models, kind: str, extra: list[quality.Check]) -> DataFrame:
     """The declared checks of a kind, which pass, and some that find failures."""
-    declared = [check for check in quality.CHECKS if check.kind == kind]
-    return quality.run_checks(m.tables(), declared + extra)
+    checks = [check for check in quality.CHECKS if check.kind == kind] + extra
+    names = {check.model for check in checks} | {check.parent for check in checks if check.parent}
+    return quality.run_checks({name: m.table(name) for name in names}, checks)
 
 
 def _parsed_listings(m: Models) -> DataFrame:
