@@ -57,10 +57,11 @@ STORED_OBSERVATIONS = T.StructType(
     [*OBSERVATIONS.fields, T.StructField(MONTH, T.StringType(), True)]
 )
 
+# Counts are 32-bit integers in the source's query language; a larger number reads as NULL.
 LISTING = T.StructType(
     [
-        T.StructField("totalCount", T.LongType()),
-        T.StructField("pageInfo", T.StructType([T.StructField("pageSize", T.LongType())])),
+        T.StructField("totalCount", T.IntegerType()),
+        T.StructField("pageInfo", T.StructType([T.StructField("pageSize", T.IntegerType())])),
         T.StructField(
             "edges",
             T.ArrayType(

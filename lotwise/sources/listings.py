@@ -23,16 +23,16 @@ PAGE_BLOCK = 4096
 def _first_typed(payload: str | None, typename: str) -> str | None:
     try:
         pending: list[Any] = [json.loads(payload or "")]
+        while pending:
+            node = pending.pop()
+            if isinstance(node, dict):
+                if node.get("__typename") == typename:
+                    return json.dumps(node)
+                node = list(node.values())
+            if isinstance(node, list):
+                pending.extend(reversed(node))
     except (ValueError, RecursionError):
-        return None
-    while pending:
-        node = pending.pop()
-        if isinstance(node, dict):
-            if node.get("__typename") == typename:
-                return json.dumps(node, ensure_ascii=False)
-            node = list(node.values())
-        if isinstance(node, list):
-            pending.extend(reversed(node))
+        pass
     return None
 
 
@@ -76,7 +76,12 @@ def listing_pages(parsed: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFr
         .when(total.isNull() | size.isNull(), "missing_key")
         .when(size == 0, "zero_page_size")
     )
-    sized = parsed.select(*keep, total.alias("total_count"), size.alias("page_size"), reason.alias("reject_reason"))
+    sized = parsed.select(
+        *keep,
+        total.cast("bigint").alias("total_count"),
+        size.cast("bigint").alias("page_size"),
+        reason.alias("reject_reason"),
+    )
     count = F.expr("(total_count + page_size - 1) div nullif(page_size, 0)")
     counted = sized.filter(F.col("reject_reason").isNull()).select(*keep, count.alias("page_count"))
     last = F.greatest(F.col("page_count"), F.lit(1))

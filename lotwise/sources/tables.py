@@ -7,7 +7,7 @@ from collections.abc import Iterable, Mapping
 from typing import Any
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -34,6 +34,21 @@ def read_observations(
     return stored.select(*OBSERVATION_COLUMNS)
 
 
+def read_newest(spark: SparkSession, path: str, rows: int) -> DataFrame:
+    """Observations of the newest months that together hold at least ``rows`` rows; for top
+    lists by time, which need nothing older. Rows per month come from the file footers."""
+    require_utc(spark)
+    stored = spark.read.schema(STORED_OBSERVATIONS).parquet(path)
+    months = stored.groupBy(MONTH).agg(F.count("*").alias("stored"))
+    # One row per month, so one window over all of them is enough.
+    held = F.sum("stored").over(Window.orderBy(F.desc(MONTH)))
+    enough = months.withColumn("held", held).filter(F.col("held") >= rows)
+    first = enough.agg(F.max(MONTH).alias("first")).first()["first"]
+    if first is not None:
+        stored = stored.filter(F.col(MONTH) >= first)
+    return stored.select(*OBSERVATION_COLUMNS)
+
+
 def read_rates(spark: SparkSession, path: str) -> DataFrame:
     require_utc(spark)
     return spark.read.schema(RATES).parquet(path)

@@ -110,6 +110,7 @@ REJECTED = [
     (page(ADVERT).replace("</script>", " {}</script>"), "bad_json"),
     (page(ADVERT).replace("</script>", ',{"a":1}</script>'), "bad_json"),
     ('<script id="__NEXT_DATA__"></script>', "bad_json"),
+    (page(advert(deep=0)).replace('"deep": 0', '"deep": ' + "[" * 5000 + "]" * 5000), "bad_json"),
     ('<script id="__NEXT_DATA__">{"props":{}}</script>', "no_advert"),
     (page(None), "no_advert"),
     (page([1]), "no_advert"),

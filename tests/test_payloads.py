@@ -35,6 +35,11 @@ def test_payload_without_the_node_is_rejected(spark):
     assert [r.reject_reason for r in rows] == ["no_search_node"] * 4 + [None]
 
 
+def test_odd_text_does_not_stop_the_job(spark):
+    odd = json.dumps(search(urls=["a"], title="\ud800 lone, \U0001f697 car"))
+    assert [u.url for u in listing_urls(listings(spark, odd), ["listing"]).collect()] == ["a"]
+
+
 def test_empty_urls_are_left_out_and_positions_kept(spark):
     urls = listing_urls(listings(spark, search(urls=["a", "", None, "b"])), ["listing"]).collect()
     assert [(u.edge_pos, u.url) for u in urls] == [(0, "a"), (3, "b")]
@@ -43,13 +48,17 @@ def test_empty_urls_are_left_out_and_positions_kept(spark):
 
 
 def test_planned_pages(spark):
-    documents = [search(total=20), search(total=18), search(total=0), search(size=0), {"__typename": "AdvertSearchOutput"}]
+    documents = [search(total=20), search(total=18), search(total=0), search(size=0), {"__typename": "AdvertSearchOutput"}, search(total=2**40)]
     planned, rejected = listing_pages(listings(spark, *documents), ["listing"])
     pages = {}
     for row in planned.collect():
         pages.setdefault((row.listing, row.page_count), []).append(row.page)
     assert pages == {(0, 3): [1, 2, 3], (1, 2): [1, 2], (2, 0): [1]}
-    assert {r.listing: r.reject_reason for r in rejected.collect()} == {3: "zero_page_size", 4: "missing_key"}
+    assert {r.listing: r.reject_reason for r in rejected.collect()} == {
+        3: "zero_page_size",
+        4: "missing_key",
+        5: "missing_key",
+    }
 
 
 def test_many_pages_come_in_blocks(spark):

@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from lotwise.plans import daily, load, marts, quality, reports, staging
+from lotwise.plans import alerts, daily, load, marts, quality, reports, staging
 from lotwise.schemas import LEDGER_KEYS, OBSERVATIONS
 from lotwise.sinks import tables as sinks
 from lotwise.sources import tables as sources
@@ -68,6 +68,16 @@ def test_month_bounds_reach_the_directories(spark, tmp_path, obs):
     assert "observed_month=199502" in str(glob.glob(f"{path}/*"))
 
 
+def test_newest_months_are_enough_for_top_lists(spark, tmp_path, obs):
+    path = str(tmp_path / "raw")
+    load.load_runs(obs, path)
+    whole = alerts.latest_observations(sources.read_observations(spark, path))
+    newest = sources.read_newest(spark, path, alerts.TOP_OFFERS)
+    assert re.search(r"PartitionFilters: \[[^\]]*observed_month", plan(newest))
+    assert same(alerts.latest_observations(newest), whole)
+    assert sources.read_newest(spark, path, 10**9).count() == obs.count()
+
+
 def test_large_directory_is_split_and_ordered(spark, tmp_path, obs):
     path = str(tmp_path / "hot")
     hot = obs.withColumn("observed_month", F.lit("202401")).withColumn("source_offer_id", F.lit("one"))

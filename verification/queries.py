@@ -116,7 +116,7 @@ def _typed_nodes(m: Models) -> DataFrame:
         "target",
         "page",
         F.col("reject_reason").isNull().alias("found"),
-        F.col("search.totalCount").alias("total_count"),
+        F.col("search.totalCount").cast("bigint").alias("total_count"),
         F.size(F.col("search.edges")).alias("edge_count"),
     )
 
