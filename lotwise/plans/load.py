@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lotwise.schemas import LEDGER, MONTH, OBSERVATION_COLUMNS
 from lotwise.sinks.tables import append_observations, with_month, write_clustered
 from lotwise.sources.offer_pages import pages_to_observations
+from lotwise.sources.rate_payloads import parse_rates
 from lotwise.sources.tables import read_ledger, read_observations
 
 # Up to this many pending runs are named in a filter, which prunes directories.
@@ -27,6 +28,13 @@ def ingest_pages(
         rejected.write.mode("append").partitionBy("scrape_run_id").parquet(rejects)
 
 
+def load_rates(payloads: DataFrame, rates: str) -> None:
+    """Append the newest rate of every payload. One bad payload fails the whole load, and
+    nothing of it is kept."""
+    good, _ = parse_rates(payloads, strict=True)
+    good.write.mode("append").parquet(rates)
+
+
 def list_runs(observations: DataFrame) -> DataFrame:
     return observations.select("scrape_run_id").distinct().orderBy("scrape_run_id")
 
@@ -77,6 +85,6 @@ def load_pending(spark: SparkSession, lake: str, warehouse: str, ledger: str, no
     else:
         rows = pending_rows(stored, pending)
     load_runs(rows, warehouse)
-    ledger_rows(rows, now).select(*LEDGER.fieldNames()).coalesce(1).write.mode("append").parquet(ledger)
-    written = read_ledger(spark, ledger).filter(F.col("loaded_at") == F.lit(now))
-    return total_loaded(written).first()["rows_loaded"]
+    loaded = ledger_rows(rows, now).select(*LEDGER.fieldNames())
+    loaded.coalesce(1).write.mode("append").parquet(ledger)
+    return total_loaded(loaded).first()["rows_loaded"]

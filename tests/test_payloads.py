@@ -4,8 +4,10 @@ from decimal import Decimal
 import pytest
 from pyspark.errors import PySparkException
 
+from lotwise.plans.load import load_rates
 from lotwise.sources.listings import distinct_urls, listing_pages, listing_urls, parse_listings
 from lotwise.sources.rate_payloads import parse_rates
+from lotwise.sources.tables import read_rates
 from tests.samples import at
 
 
@@ -116,3 +118,13 @@ def test_strict_stops_on_a_bad_rate(spark):
     with pytest.raises(PySparkException, match="wrong_currency"):
         good.collect()
     assert parse_rates(payloads(spark, ("EUR", rate())), strict=True)[0].count() == 1
+
+
+def test_rates_are_loaded_whole_or_not_at_all(spark, tmp_path):
+    path = str(tmp_path / "rates")
+    load_rates(payloads(spark, ("EUR", rate()), ("usd", rate(code="USD"))), path)
+    load_rates(payloads(spark, ("EUR", rate(date="2024-01-03"))), path)
+    with pytest.raises(PySparkException):
+        load_rates(payloads(spark, ("EUR", rate(date="2024-01-04")), ("USD", rate())), path)
+    dates = [(r.base_currency, r.effective_date.day) for r in read_rates(spark, path).collect()]
+    assert sorted(dates) == [("EUR", 2), ("EUR", 3), ("USD", 2)]
