@@ -32,9 +32,12 @@ ORDER_KEYS = {
 }
 
 
-def build_daily(spark: SparkSession, observations: str, rates: str, out: str) -> dict[str, DataFrame]:
+def build_daily(
+    spark: SparkSession, observations: str, rates: str, out: str, money_scale: int | None = None
+) -> dict[str, DataFrame]:
     """Rebuild all models under ``out`` from the raw tables at ``observations`` and
-    ``rates``; gives the models, read from what was written.
+    ``rates``; gives the models, read from what was written. ``money_scale`` is that of
+    ``marts.agg_daily``.
 
     A failing check raises and nothing that depends on the model is built.
     """
@@ -67,7 +70,7 @@ def build_daily(spark: SparkSession, observations: str, rates: str, out: str) ->
 
     dim = table("dim__offers", marts.dim_offers(observed, latest))
     fact = table("fct__offer_observations", marts.fct_offer_observations(observed))
-    daily = table("agg__daily_offer_observations", marts.agg_daily(fact))
+    daily = table("agg__daily_offer_observations", marts.agg_daily(fact, money_scale))
     by_brand = table("agg__offers_by_brand", marts.agg_by_brand(dim))
     by_fuel = table("agg__offers_by_fuel_type", marts.agg_by_fuel(dim))
     table("rpt__brand_inventory", reports.rpt_brand_inventory(by_brand))

@@ -165,7 +165,7 @@ def test_daily_build(spark, tmp_path, obs, raw_rates, models):
     raw, rate_path, out, extracts = (str(tmp_path / n) for n in ("raw", "rates", "out", "extracts"))
     load.load_runs(obs, raw)
     raw_rates.write.parquet(rate_path)
-    built = daily.build_daily(spark, raw, rate_path, out)
+    built = daily.build_daily(spark, raw, rate_path, out, money_scale=2)
     assert sorted(os.listdir(out)) == sorted(daily.ORDER_KEYS)
     dim = marts.dim_offers(obs, staging.latest_rates(staging.stg_rates(raw_rates)))
     assert same(built["dim__offers"], dim)
@@ -173,6 +173,7 @@ def test_daily_build(spark, tmp_path, obs, raw_rates, models):
     assert same(built["rpt__mileage_vs_price"], reports.rpt_mileage_vs_price(dim))
     assert same(built["rpt__price_distribution_by_vehicle"], reports.rpt_price_distribution(dim))
     assert same(built["rpt__brand_inventory"], models.brand())
+    assert same(built["rpt__marketplace_overview"], models.overview())
     assert same(spark.table("stg__currency_rates"), built["stg__currency_rates"])
     daily.write_extracts(built, extracts)
     assert same(spark.read.parquet(f"{extracts}/rpt__fuel_type"), models.fuel())
