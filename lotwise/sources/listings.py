@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -20,30 +19,30 @@ SEARCH_NODE = "AdvertSearchOutput"
 PAGE_BLOCK = 4096
 
 
-def _first_typed(payload: str | None, typename: str) -> str | None:
-    try:
-        pending: list[Any] = [json.loads(payload or "")]
-        while pending:
-            node = pending.pop()
-            if isinstance(node, dict):
-                if node.get("__typename") == typename:
-                    return json.dumps(node)
-                node = list(node.values())
-            if isinstance(node, list):
-                pending.extend(reversed(node))
-    except (ValueError, RecursionError):
-        pass
-    return None
-
-
 def find_typed_node(payload: Column, typename: str = SEARCH_NODE) -> Column:
     """First JSON object in document order with the given ``__typename``, as JSON text;
     NULL if there is none. In Python because the built-in ways to walk a document of
     unknown shape visit members by name, not by position."""
 
+    # Local functions travel to the executors whole; these need not have this package.
+    def first_typed(text: str | None) -> str | None:
+        try:
+            pending = [json.loads(text or "")]
+            while pending:
+                node = pending.pop()
+                if isinstance(node, dict):
+                    if node.get("__typename") == typename:
+                        return json.dumps(node)
+                    node = list(node.values())
+                if isinstance(node, list):
+                    pending.extend(reversed(node))
+        except (ValueError, RecursionError):
+            pass
+        return None
+
     @F.pandas_udf("string")
     def typed_node(payloads: pd.Series) -> pd.Series:
-        return payloads.map(lambda text: _first_typed(text, typename)).astype(object)
+        return payloads.map(first_typed).astype(object)
 
     return typed_node(payload)
 

@@ -128,3 +128,27 @@ def test_rates_are_loaded_whole_or_not_at_all(spark, tmp_path):
         load_rates(payloads(spark, ("EUR", rate(date="2024-01-04")), ("USD", rate())), path)
     dates = [(r.base_currency, r.effective_date.day) for r in read_rates(spark, path).collect()]
     assert sorted(dates) == [("EUR", 2), ("EUR", 3), ("USD", 2)]
+
+
+def test_executors_do_not_need_the_package(tmp_path):
+    """A driver that found the package by path only, its Python workers without it."""
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = tmp_path / "driver.py"
+    script.write_text(
+        "import sys\n"
+        "from pyspark.sql import SparkSession\n"
+        "spark = SparkSession.builder.master('local[1]').config('spark.ui.enabled', 'false').getOrCreate()\n"
+        f"sys.path.insert(0, {root!r})\n"
+        "from lotwise.sources.listings import parse_listings\n"
+        "rows = spark.createDataFrame([('{\"a\": {\"__typename\": \"AdvertSearchOutput\", \"totalCount\": 7}}',)], 'payload string')\n"
+        "print('total', parse_listings(rows).first().search.totalCount)\n"
+    )
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run(
+        [sys.executable, str(script)], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=300
+    )
+    assert "total 7" in run.stdout, run.stderr
