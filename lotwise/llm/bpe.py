@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import by_value, table
+from lotwise.llm.common import by_value, table, with_fields
 from lotwise.llm.tokens import TreeEncoder
 
 
@@ -40,7 +40,7 @@ def encode(docs: DataFrame, text: str = "text", ranks: str | None = None, patter
         decoded = pa.array([encoder.decode(x) for x in found], pa.binary())
         return pa.RecordBatch.from_arrays([*batch.columns, ids, decoded], [*batch.schema.names, "ids", "decoded"])
 
-    return _mapped(kept, run, ranks, pattern, [("ids", "array<int>"), ("decoded", "binary")])
+    return _mapped(kept, run, ranks, pattern, "ids array<int>, decoded binary")
 
 
 def digests(docs: DataFrame, text: str = "text", ranks: str | None = None, pattern: str | None = None) -> DataFrame:
@@ -64,11 +64,10 @@ def digests(docs: DataFrame, text: str = "text", ranks: str | None = None, patte
             [*others, "n_tokens", "ids_sha256", "decoded_sha256"],
         )
 
-    made = [("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
-    return _mapped(docs, run, ranks, pattern, made, drop=text)
+    return _mapped(docs, run, ranks, pattern, "n_tokens long, ids_sha256 string, decoded_sha256 string", (text,))
 
 
-def _mapped(docs: DataFrame, run, ranks: str | None, pattern: str | None, made: list, drop: str | None = None) -> DataFrame:
+def _mapped(docs: DataFrame, run, ranks: str | None, pattern: str | None, made: str, drop: tuple = ()) -> DataFrame:
     ranks, pattern = ranks or vocabulary_path(), pattern or split_pattern()
 
     def batches(rows):
@@ -77,12 +76,7 @@ def _mapped(docs: DataFrame, run, ranks: str | None, pattern: str | None, made:
             for at in range(0, batch.num_rows, 256):
                 yield run(encoder, batch.slice(at, 256))
 
-    schema = docs.limit(0).schema
-    for name in [drop] if drop else []:
-        schema = type(schema)([f for f in schema if f.name != name])
-    for name, kind in made:
-        schema = schema.add(name, kind)
-    return docs.mapInArrow(batches, schema)
+    return docs.mapInArrow(batches, with_fields(docs, made, drop))
 
 
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ import uuid
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 def by_value(module: str) -> None:
@@ -44,6 +45,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def with_fields(df: DataFrame, made: str, drop: tuple[str, ...] = ()) -> StructType:
+    """Schema of ``df`` without ``drop`` and with the fields of a DDL string."""
+    return StructType([f for f in df.schema if f.name not in drop] + StructType.fromDDL(made).fields)
+
+
 def numbered(df: DataFrame, groups: list[str], key: list[str], buckets: int | None = None) -> DataFrame:
     """Add ``rank`` (from 0, gapless, in each group) and ``position`` (the same over all rows,
     groups in their order). The groups must have a bounded number, their sizes need not:

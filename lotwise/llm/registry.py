@@ -8,11 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lotwise.llm.bpe import op9_bpe
 from lotwise.llm.packing import op5_packing
+from lotwise.llm.sharding import op8_sharding
+from lotwise.llm.topk import OP7_SQL, op7_topk
+from lotwise.llm.toxicity import op2_toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op5_packing": op5_packing, "op9_bpe": op9_bpe}
+    found = (op2_toxicity, op5_packing, op7_topk, op8_sharding, op9_bpe)
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_topk": OP7_SQL}
