@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lotwise.llm.bpe import op9_bpe
 from lotwise.llm.licenses import op1_licenses, op1_sql
 from lotwise.llm.neighbours import op3_neighbours
+from lotwise.llm.ngram_join import OP6_SQL, op6_ngram_join
 from lotwise.llm.packing import op5_packing
 from lotwise.llm.sharding import op8_sharding
 from lotwise.llm.topk import OP7_SQL, op7_topk
@@ -17,9 +18,9 @@ from lotwise.llm.warc import op10_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_licenses, op2_toxicity, op3_neighbours, op5_packing, op7_topk, op8_sharding, op9_bpe, op10_warc)
+    found = (op1_licenses, op2_toxicity, op3_neighbours, op5_packing, op6_ngram_join, op7_topk, op8_sharding, op9_bpe, op10_warc)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_licenses": op1_sql(), "op7_topk": OP7_SQL}
+    return {"op1_licenses": op1_sql(), "op6_ngram_join": OP6_SQL, "op7_topk": OP7_SQL}
