@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from lotwise.llm.common import by_value
@@ -30,7 +31,7 @@ def indices(cells: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def index_column(cells: list[str], bits: int) -> F.Column:
+def index_column(cells: list[str], bits: int) -> Column:
     """The same as one SQL expression over integer columns, without Python on executors."""
     n = len(cells)
     steps = f"sequence(0, {(bits - 1) * n - 1})" if bits > 1 else "array()"

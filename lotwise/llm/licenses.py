@@ -12,7 +12,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lotwise.llm.common import by_value, table
@@ -68,7 +68,7 @@ def default_templates() -> list[Template]:
     return exact + [Template.of(label, text, False) for label, text in NOTICES.items()]
 
 
-def word_list(text: str = "text") -> F.Column:
+def word_list(text: str = "text") -> Column:
     """Words of a text in order, A-Z in lower case; of null, none."""
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
 

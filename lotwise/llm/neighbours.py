@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lotwise.llm.common import by_value, stored, table
@@ -48,7 +48,7 @@ def curve_keys(vectors: np.ndarray, curves: int = CURVES, dimensions: int = DIME
 
 
 def nearest(
-    vectors: DataFrame, query: F.Column, k: int = 5, curves: int = CURVES, ranges: int = RANGES,
+    vectors: DataFrame, query: Column, k: int = 5, curves: int = CURVES, ranges: int = RANGES,
     dimensions: int = DIMENSIONS, bits: int = BITS, seed: int = SEED,
 ) -> DataFrame:
     """query_id, rank, vec_id and score (cosine in double precision) of the k nearest found

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lotwise.llm.common import by_value, stored, table
@@ -33,7 +33,7 @@ def scatter(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     return scores
 
 
-def top_products(vectors: DataFrame, query: F.Column, k: int = 10, scale: int = SCALE) -> DataFrame:
+def top_products(vectors: DataFrame, query: Column, k: int = 10, scale: int = SCALE) -> DataFrame:
     """query_id, rank, vec_id and score of the k candidates of the largest integer inner
     product with each query; all others are its candidates, if of equally many components.
     Exact in 64 bits, so components should stay below 2**26. ``query`` chooses among ids.

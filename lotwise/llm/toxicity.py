@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.llm.common import by_value, per_worker, table, with_fields
@@ -135,9 +135,9 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return w
 
 
-def held_out(doc_id: F.Column = F.col("doc_id")) -> F.Column:
+def held_out(doc_id: str = "doc_id") -> Column:
     """Whether a document's label is never learnt from."""
-    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
+    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
 def fit_on(docs: DataFrame, labels: DataFrame) -> Model:
