@@ -12,13 +12,14 @@ from lotwise.llm.neighbours import op3_neighbours
 from lotwise.llm.ngram_join import OP6_SQL, op6_ngram_join
 from lotwise.llm.packing import op5_packing
 from lotwise.llm.sharding import op8_sharding
+from lotwise.llm.suffix_dedup import op4_suffix_dedup
 from lotwise.llm.topk import OP7_SQL, op7_topk
 from lotwise.llm.toxicity import op2_toxicity
 from lotwise.llm.warc import op10_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_licenses, op2_toxicity, op3_neighbours, op5_packing, op6_ngram_join, op7_topk, op8_sharding, op9_bpe, op10_warc)
+    found = (op1_licenses, op2_toxicity, op3_neighbours, op4_suffix_dedup, op5_packing, op6_ngram_join, op7_topk, op8_sharding, op9_bpe, op10_warc)
     return {f.__name__: f for f in found}
 
 
