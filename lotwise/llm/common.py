@@ -45,6 +45,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
+    """``df`` marked for broadcast if it has no more than ``rows`` rows, which is counted."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def with_fields(df: DataFrame, made: str, drop: tuple[str, ...] = ()) -> StructType:
     """Schema of ``df`` without ``drop`` and with the fields of a DDL string."""
     return StructType([f for f in df.schema if f.name not in drop] + StructType.fromDDL(made).fields)

@@ -15,8 +15,10 @@ the contents of segments, by cost:
   H + 1 units;
 * sets with fewer units yet index, among themselves, each element.
 
-Sets that share a row are candidates and compared exactly. Links, not pairs of copies: one
-node stands for all equal sets, and pairs within a known component need no comparison.
+Sets that share a row are candidates. A sketch of a bit per element, the parity of how many
+elements fall on it, differs in as many bits as the sets do in elements at most; pairs whose
+sketches differ more than linked sets can are dropped, and the others are compared exactly.
+One node stands for all equal sets, and pairs within a known component need no comparison.
 """
 
 from __future__ import annotations
@@ -26,16 +28,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import by_value, stored, table
+from lotwise.llm.common import broadcast_if_small, by_value, stored, table
 from lotwise.llm.components import components
 
 WORDS = 5
 #: An element is common if more than this share of the sets hold it.
-COMMON = 0.005
+COMMON = 0.0005
 #: Elements that are counted together, and sets remembered, in a task.
 BLOCK, SEEN = 4_000_000, 1_000_000
-#: Documents whose ids may be broadcast (16 MB); more are joined by a shuffle.
-BROADCAST_IDS = 1_000_000
+#: Rows of one or two longs that may be broadcast (about 30 MB); more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+#: Bits of the largest sketch.
+SKETCH = 1 << 16
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -67,6 +71,20 @@ def node_of(elements: np.ndarray) -> int | None:
     return xxhash.xxh3_64_intdigest(elements.tobytes()) - 2**63 if len(elements) else None
 
 
+def sketch_of(elements: np.ndarray) -> bytes:
+    """Parities of the numbers of elements by their last bits; as many bits as the first
+    power of two from their number on, 64 at least."""
+    bits = min(SKETCH, max(64, 1 << (len(elements) - 1).bit_length())) if len(elements) else 64
+    return np.packbits(np.bincount((elements & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
+
+
+def differing(left: bytes, right: bytes) -> int:
+    """Bits that differ, when the longer sketch is folded to the length of the other."""
+    small, large = sorted((np.frombuffer(left, np.uint8), np.frombuffer(right, np.uint8)), key=len)
+    folded = np.bitwise_xor.reduce(large.reshape(-1, len(small)), axis=0)
+    return int(np.bitwise_count(small ^ folded).sum())
+
+
 def bands(size: int) -> list[tuple[int, int, int]]:
     """(band, segments, most differing elements) of each partition that a set takes part in:
     that of its own sizes, and that of the next, where it may be the smaller one."""
@@ -123,7 +141,7 @@ def _longs(values: np.ndarray) -> pa.Array:
 
 
 def sets_of(docs: DataFrame, words: int = WORDS, share: float = COMMON) -> DataFrame:
-    """Per row: doc_id, n_shingles and node. Besides, rows with ``element`` and ``held`` (and
+    """Per row: doc_id, n_shingles, node and sketch. Besides, rows with ``element`` and ``held`` (and
     no ``row``): elements that many sets of a block of rows hold. An element that is common
     in all is so in some block, so adding the blocks' counts finds it."""
 
@@ -135,32 +153,33 @@ def sets_of(docs: DataFrame, words: int = WORDS, share: float = COMMON) -> DataF
             many = held >= max(4, share * len(gathered))
             n = int(many.sum())
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.array([False] * n),
-                 _longs(element[many]), pa.array(held[many], pa.int64())], names)
+                [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
+                 pa.array([False] * n), _longs(element[many]), pa.array(held[many], pa.int64())], names)
 
-        names = ["doc_id", "n_shingles", "node", "row", "element", "held"]
+        names = ["doc_id", "n_shingles", "node", "sketch", "row", "element", "held"]
         for batch in rows:
-            counts, nodes = [], []
+            counts, nodes, sketches = [], [], []
             for text in batch.column(1).to_pylist():
                 own = shingles(text, words)
                 node = node_of(own)
                 counts.append(len(own))
                 nodes.append(node)
+                sketches.append(sketch_of(own))
                 if node is not None and node not in seen:
                     seen.add(node)
                     gathered.append(own)
                     size += len(own)
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(nodes, pa.int64()), pa.array([True] * n),
-                 pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names)
+                [batch.column(0).cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(nodes, pa.int64()),
+                 pa.array(sketches, pa.binary()), pa.array([True] * n), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names)
             if size > BLOCK or len(seen) > SEEN:
                 yield counted()
                 seen, gathered, size = set(), [], 0
         if gathered:
             yield counted()
 
-    schema = "doc_id long, n_shingles long, node long, row boolean, element long, held long"
+    schema = "doc_id long, n_shingles long, node long, sketch binary, row boolean, element long, held long"
     return docs.select("doc_id", "text").mapInArrow(batches, schema)
 
 
@@ -191,14 +210,21 @@ def indexed(docs: DataFrame, common: np.ndarray, words: int = WORDS) -> DataFram
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Those pairs (a, b of ``node``) whose sets have a similarity of 75 in 100 or more."""
-    def size(side: str) -> DataFrame:
-        return nodes.select(F.col("node").alias(side), F.col("doc_id").alias(f"doc_{side}"), F.col("n_shingles").alias(f"n_{side}"))
+    def side(name: str) -> DataFrame:
+        kept = {"node": name, "doc_id": f"doc_{name}", "n_shingles": f"n_{name}", "sketch": f"sketch_{name}"}
+        return nodes.select(*(F.col(k).alias(v) for k, v in kept.items()))
+
+    def near(rows):
+        for batch in rows:
+            a, b, n_a, n_b = (batch.column(i).to_pylist() for i in (4, 5, 2, 3))
+            kept = [differing(x, y) <= (p + q) // 7 for x, y, p, q in zip(a, b, n_a, n_b)]
+            yield batch.select([0, 1, 6, 7]).filter(pa.array(kept, pa.bool_()))
 
-    possible = pairs.join(size("a"), "a").join(size("b"), "b").filter("4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)")
-    possible = stored(possible, "candidates")
+    possible = pairs.join(side("a"), "a").join(side("b"), "b").filter("4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)")
+    possible = possible.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b", "doc_a", "doc_b")
+    possible = stored(possible.mapInArrow(near, "a long, b long, doc_a long, doc_b long"), "candidates")
     ids = possible.select(F.col("doc_a").alias("doc_id")).unionByName(possible.select(F.col("doc_b").alias("doc_id"))).distinct()
-    if ids.count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    ids = broadcast_if_small(ids, BROADCAST_ROWS)
 
     def batches(rows):
         for batch in rows:
@@ -208,9 +234,10 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int = W
                     [pa.array([node_of(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())], ["node", "elements"]
                 )
 
-    # Rows of one id may be repeated or differ; the node says which set it is.
+    # Rows of one id may be repeated or differ: the node says which set it is, and a link
+    # that is found twice is one.
     sets = docs.join(ids, "doc_id", "left_semi").select("text").mapInArrow(batches, "node long, elements binary")
-    sets = stored(sets.dropDuplicates(["node"]), "sets")
+    sets = stored(sets, "sets")
     both = possible.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("elements").alias("left")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("elements").alias("right")), "b").select("a", "b", "left", "right")
 
@@ -234,7 +261,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     found = stored(sets_of(docs, words), "shingles")
     rows = found.filter("row").select("doc_id", "n_shingles", "node")
     # Copies are aggregated before the shuffle.
-    nodes = stored(rows.filter("node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles")), "nodes")
+    nodes = stored(found.filter("row AND node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")), "nodes")
     least = COMMON * nodes.count()
     # At most (elements of all sets / COMMON / sets) are common: some hundred per shingle of a
     # mean text, however many there are.
@@ -249,22 +276,23 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     links = stored(verified(first, nodes, docs, words), "links")
     labels = components(links)
     # Then all pairs of nodes that share a row and are not yet known to be connected.
-    left = buckets.select("sig", "node").distinct().join(labels, "node", "left")
-    left = left.select("sig", "node", F.coalesce("label", "node").alias("label"))
-    one, other = F.min("label").over(line), F.max("label").over(line)
-    left = left.withColumn("low", one).withColumn("high", other).filter("low < high").select("sig", "node", "label")
-    left = stored(left.join(nodes.select("node", "n_shingles"), "node"), "open")
+    labels = broadcast_if_small(labels, BROADCAST_ROWS)
+    ahead = labels.select(F.col("node").alias("first"), F.col("label").alias("other"))
+    left = buckets.join(labels, "node", "left").join(ahead, "first", "left")
+    left = left.select("sig", "node", F.coalesce("label", "node").alias("label"), F.coalesce("other", "first").alias("other"))
+    # A row whose nodes are all connected to its first one has nothing left to compare.
+    left = left.withColumn("open", F.max(F.col("label") != F.col("other")).over(line)).filter("open")
+    left = stored(left.select("sig", "node", "label"), "open")
     a, b = left.alias("a"), left.alias("b")
     apart = (F.col("a.sig") == F.col("b.sig")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label"))
-    alike = (4 * F.col("a.n_shingles") >= 3 * F.col("b.n_shingles")) & (4 * F.col("b.n_shingles") >= 3 * F.col("a.n_shingles"))
-    rest = a.join(b, apart & alike).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+    rest = a.join(b, apart).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
     rest = rest.join(first, ["a", "b"], "left_anti")
     more = stored(verified(rest, nodes, docs, words), "links")
     labels = components(links.unionByName(more))
 
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component"))
-    named = named.join(smallest, "label").select("node", "component")
+    named = named.select("node", "label").join(smallest, "label").select("node", "component")
     # A node of very many copies is a skewed key, which the adaptive planner splits.
     return rows.join(named, "node", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
