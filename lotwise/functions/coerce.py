@@ -32,6 +32,12 @@ def is_kind(value: Column, *kinds: str) -> Column:
     return F.coalesce(matches, F.lit(False))
 
 
+def not_a(value: Column, kind: str) -> Column:
+    """There, not empty (null, "", 0, false, [] and {} are), and of another kind."""
+    empty = F.coalesce(as_text(value).isin("", "0", "false", "[]", "{}"), F.lit(False))
+    return value.isNotNull() & ~is_kind(value, kind, "VOID") & ~empty
+
+
 def to_int(value: Column) -> Column:
     """Whole number: text must spell an integer, a JSON number is truncated."""
     digits = F.replace(F.regexp_extract(as_text(value), INT_TEXT, 1), F.lit("_"), F.lit(""))

@@ -28,7 +28,9 @@ def price_summary(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """
     keys = list(keys)
     values = df.groupBy(*keys, F.col(value).alias("_value")).agg(F.count("*").alias("_n"))
-    values = values.withColumn("_bucket", value_bucket(F.col("_value")))
+    # Both readers of the values need a bucket. Said here, it is the same exchange for both;
+    # said by the join alone, the values would be aggregated and shuffled twice.
+    values = values.withColumn("_bucket", value_bucket(F.col("_value"))).filter(F.col("_bucket").isNotNull())
 
     group = Window.partitionBy(*keys)
     upto = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)

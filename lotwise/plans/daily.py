@@ -56,9 +56,7 @@ def build_daily(
 
     def table(name: str, df: DataFrame) -> DataFrame:
         path = f"{out}/{name}"
-        # Raw observations are stored by offer and time, so the fact needs no new order
-        # across files; everything else is smaller than the observations.
-        materialize(df, path, ORDER_KEYS[name], spread=name != "fct__offer_observations")
+        materialize(df, path, ORDER_KEYS[name])
         tables[name] = read_back(spark, path)
         require_passing(tables, name)
         return tables[name]

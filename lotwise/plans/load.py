@@ -7,22 +7,25 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.schemas import LEDGER, MONTH, OBSERVATION_COLUMNS
-from lotwise.sinks.tables import append_observations, with_month, write_clustered
-from lotwise.sources.offer_pages import pages_to_observations
+from lotwise.schemas import LEDGER, LEDGER_KEYS, MONTH, OBSERVATION_COLUMNS, RATE_KEYS, RATES
+from lotwise.sinks.tables import append_observations, compact_stored, with_month, write_clustered
+from lotwise.sources.offer_pages import parse_pages, split_parsed
 from lotwise.sources.rate_payloads import parse_rates
-from lotwise.sources.tables import read_ledger, read_observations
-
-# Up to this many pending runs are named in a filter, which prunes directories.
-MAX_NAMED_RUNS = 1_000
+from lotwise.sources.tables import read_folders, read_ledger, read_observations, run_folders
+from lotwise.versions import current_path
 
 
 def ingest_pages(
     pages: DataFrame, run_id: str, lake: str, rejects: str | None = None, observed_at_col: str = "observed_at"
 ) -> None:
     """Append the usable pages of a run to the lake. With ``rejects``, the others are
-    appended there with their reason, in a second pass over the pages."""
-    good, rejected = pages_to_observations(pages, F.lit(run_id), observed_at_col)
+    appended there with their reason. Pages are read and parsed once: both come from the
+    parsed rows, which are written first, to a folder that readers of the rejects skip."""
+    parsed = parse_pages(pages, F.lit(run_id), observed_at_col)
+    if rejects is not None:
+        parsed.write.mode("overwrite").parquet(f"{rejects}/_parsed")
+        parsed = pages.sparkSession.read.schema(parsed.schema).parquet(f"{rejects}/_parsed")
+    good, rejected = split_parsed(parsed)
     append_observations(good, lake)
     if rejects is not None:
         rejected.write.mode("append").partitionBy("scrape_run_id").parquet(rejects)
@@ -32,7 +35,17 @@ def load_rates(payloads: DataFrame, rates: str) -> None:
     """Append the newest rate of every payload. One bad payload fails the whole load, and
     nothing of it is kept."""
     good, _ = parse_rates(payloads, strict=True)
-    good.write.mode("append").parquet(rates)
+    good.write.mode("append").parquet(current_path(payloads.sparkSession, rates))
+
+
+def compact_rates(spark: SparkSession, rates: str) -> None:
+    """Keep the last fetch of each rate."""
+    compact_stored(spark, rates, RATES, RATE_KEYS, "fetched_at")
+
+
+def compact_ledger(spark: SparkSession, ledger: str) -> None:
+    """Keep the last load of each run."""
+    compact_stored(spark, ledger, LEDGER, LEDGER_KEYS, "loaded_at")
 
 
 def list_runs(observations: DataFrame) -> DataFrame:
@@ -74,17 +87,18 @@ def load_runs(rows: DataFrame, warehouse: str) -> None:
 
 def load_pending(spark: SparkSession, lake: str, warehouse: str, ledger: str, now: dt.datetime) -> int:
     """Load every run of the lake that is not in the ledger; gives the number of rows.
-    The ledger is written last: a crash before that loads the same runs again."""
-    stored = read_observations(spark, lake)
-    pending = pending_runs(stored, read_ledger(spark, ledger))
-    named = [row.scrape_run_id for row in pending.limit(MAX_NAMED_RUNS + 1).collect()]
-    if not named:
+
+    Runs are folders of the lake, so what is pending is known from folder names and the
+    ledger, and only the pending folders are read: to sample the ranges and to write. The
+    ledger counts what was written, from the footers of the written files, and is itself
+    written last: a crash before that loads the same runs again."""
+    known = {row.scrape_run_id for row in read_ledger(spark, ledger).select("scrape_run_id").collect()}
+    pending = {run: folder for run, folder in run_folders(spark, lake).items() if run not in known}
+    if not pending:
         return 0
-    if len(named) <= MAX_NAMED_RUNS:
-        rows = stored.filter(F.col("scrape_run_id").isin(*named))
-    else:
-        rows = pending_rows(stored, pending)
-    load_runs(rows, warehouse)
-    loaded = ledger_rows(rows, now).select(*LEDGER.fieldNames())
-    loaded.coalesce(1).write.mode("append").parquet(ledger)
+    load_runs(read_folders(spark, lake, pending.values()), warehouse)
+    written = read_observations(spark, warehouse).filter(F.col("scrape_run_id").isin(list(pending)))
+    # One row a run.
+    loaded = spark.createDataFrame(ledger_rows(written, now).select(*LEDGER.fieldNames()).collect(), LEDGER)
+    loaded.coalesce(1).write.mode("append").parquet(current_path(spark, ledger))
     return total_loaded(loaded).first()["rows_loaded"]

@@ -95,13 +95,15 @@ def agg_daily(fact: DataFrame, money_scale: int | None = None) -> DataFrame:
 
     The distinct count is exact: the first shuffle is on (day, offer), so a busy day is
     spread. ``money_scale`` sums prices as decimals with that many places, which makes the
-    mean independent of row order to the last digit.
+    mean independent of row order to the last digit. A day with a price that is not finite
+    or too large for a decimal has the mean that it has without ``money_scale``.
     """
     price = F.col("price_amount")
     mean = F.avg(price)
     if money_scale is not None:
-        exact = F.sum(price.cast(f"decimal(18,{money_scale})")).cast("double")
-        mean = exact / F.nullif(F.count(price), F.lit(0))
+        money = price.try_cast(f"decimal(18,{money_scale})")
+        exact = F.sum(money).cast("double") / F.nullif(F.count(price), F.lit(0))
+        mean = F.when(F.count(money) == F.count(price), exact).otherwise(mean)
     return fact.groupBy(F.to_date("observed_at").alias("observation_date")).agg(
         F.count("*").alias("observation_count"),
         F.countDistinct("offer_key").alias("distinct_offer_count"),

@@ -62,14 +62,8 @@ LISTING = T.StructType(
     [
         T.StructField("totalCount", T.IntegerType()),
         T.StructField("pageInfo", T.StructType([T.StructField("pageSize", T.IntegerType())])),
-        T.StructField(
-            "edges",
-            T.ArrayType(
-                T.StructType(
-                    [T.StructField("node", T.StructType([T.StructField("url", T.StringType())]))]
-                )
-            ),
-        ),
+        # Each edge is judged by itself, so one that is odd does not take the others with it.
+        T.StructField("edges", T.VariantType()),
     ]
 )
 
@@ -83,7 +77,7 @@ RATE_PAYLOAD = T.StructType(
                     [
                         T.StructField("no", T.StringType()),
                         T.StructField("effectiveDate", T.StringType()),
-                        T.StructField("mid", T.DecimalType(18, 8)),
+                        T.StructField("mid", T.VariantType()),
                     ]
                 )
             ),

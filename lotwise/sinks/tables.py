@@ -6,9 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lotwise.operators.latest import latest_per_key
 from lotwise.schemas import MONTH, OBSERVATION_COLUMNS
+from lotwise.versions import current_path, read_current, replace_table
 
 
 def append_observations(observations: DataFrame, path: str) -> None:
@@ -45,11 +47,15 @@ def compact_latest(df: DataFrame, keys: Sequence[str], version: str) -> DataFram
     return latest_per_key(df, keys, [version])
 
 
-def materialize(df: DataFrame, path: str, order_by: Sequence[str], spread: bool = True) -> None:
-    """Replace a table with ``df`` in ``order_by`` order. ``spread=False`` skips the range
-    shuffle for rows that already lie in about that order."""
-    rows = df.repartitionByRange(*order_by) if spread else df
-    rows.sortWithinPartitions(*order_by).write.mode("overwrite").parquet(path)
+def compact_stored(spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], version: str) -> None:
+    """Rewrite an append-only table with the last version per key. Readers see the old rows
+    or the new ones; rows appended later go to the new ones."""
+    replace_table(compact_latest(read_current(spark, path, schema), keys, version), path)
+
+
+def materialize(df: DataFrame, path: str, order_by: Sequence[str]) -> None:
+    """Replace a table with ``df``, whose files hold ranges of ``order_by`` in order."""
+    replace_table(df.repartitionByRange(*order_by).sortWithinPartitions(*order_by), path)
 
 
 def register_views(views: dict[str, DataFrame]) -> None:
@@ -58,5 +64,5 @@ def register_views(views: dict[str, DataFrame]) -> None:
 
 
 def read_back(spark: SparkSession, path: str) -> DataFrame:
-    """A table this package has just written."""
-    return spark.read.parquet(path)
+    """A materialized table."""
+    return spark.read.parquet(current_path(spark, path))

@@ -8,6 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lotwise.functions.coerce import as_text, is_kind, not_a
 from lotwise.functions.once import computed_once
 from lotwise.operators.latest import first_seen
 from lotwise.schemas import LISTING
@@ -59,11 +60,37 @@ def parse_listings(listings: DataFrame, payload_col: str = "payload") -> DataFra
     )
 
 
+def edge_list(edges: Column) -> Column:
+    return F.try_variant_get(edges, "$", "array<variant>")
+
+
 def listing_urls(parsed: DataFrame, keep: list[str]) -> DataFrame:
     """Non-empty offer URLs with their position, from ``parse_listings``."""
-    edges = parsed.select(*keep, F.posexplode("search.edges").alias("edge_pos", "edge"))
-    urls = edges.select(*keep, "edge_pos", F.col("edge.node.url").alias("url"))
-    return urls.filter(F.col("url").isNotNull() & (F.col("url") != ""))
+    return _edges(parsed, keep).filter("edge_reason IS NULL AND url <> ''").select(*keep, "edge_pos", "url")
+
+
+def listing_edge_rejects(parsed: DataFrame, keep: list[str]) -> DataFrame:
+    """Edges that are no objects, hold a node that is none or a URL that is no text; and
+    listings whose edges are no list, with a null position. An edge without a node or with
+    an empty URL is no reject: it only has no offer."""
+    odd = _edges(parsed, keep).filter("edge_reason IS NOT NULL").select(*keep, "edge_pos", F.col("edge_reason").alias("reject_reason"))
+    edges = F.col("search.edges")
+    unlisted = parsed.filter(edges.isNotNull() & ~is_kind(edges, "ARRAY"))
+    return odd.unionByName(unlisted.select(*keep, F.lit(None).cast("int").alias("edge_pos"), F.lit("bad_edges").alias("reject_reason")))
+
+
+def _edges(parsed: DataFrame, keep: list[str]) -> DataFrame:
+    edges = parsed.select(*keep, F.posexplode(edge_list(F.col("search.edges"))).alias("edge_pos", "edge"))
+    node = F.try_variant_get("edge", "$.node", "variant")
+    url = F.try_variant_get("edge", "$.node.url", "variant")
+    odd = ~is_kind(F.col("edge"), "OBJECT") | (node.isNotNull() & ~is_kind(node, "OBJECT")) | not_a(url, "STRING")
+    return computed_once(
+        edges,
+        *keep,
+        "edge_pos",
+        F.when(is_kind(url, "STRING"), as_text(url)).alias("url"),
+        F.when(odd, F.lit("bad_edge")).alias("edge_reason"),
+    )
 
 
 def listing_pages(parsed: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFrame]:

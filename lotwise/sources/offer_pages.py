@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.functions.coerce import as_text, is_kind, to_float, to_int
+from lotwise.functions.coerce import as_text, is_kind, not_a, to_float, to_int
 from lotwise.functions.once import computed_once
 from lotwise.schemas import OBSERVATION_COLUMNS
 
@@ -37,10 +37,13 @@ TEXT_ELEMENT = (
     rf"<(?i:(script|style|textarea|title))\b{ATTRIBUTES}>"
     r"[^<]*+(?:<(?!/(?i:\1)[\s/>])[^<]*+)*+(?:</(?i:\1)[\s/>]|\z)"
 )
+# A tag that the page ends in, perhaps within a quoted value, takes all that is left: no
+# element follows it. Tried first, so that nothing else scans to the end from every such tag.
+CUT_OFF = rf"""<(?i:script|style|textarea|title)\b{ATTRIBUTES}(?:["'].*+)?\z"""
 # Up to the first data script. Comments and elements whose content is text are taken whole
 # on the way, so that a tag inside one is not mistaken for an element of the page.
 PAGE_JSON = (
-    rf"(?s)\A(?:(?!{DATA_SCRIPT}>)(?:[^<]++|{COMMENT}|{TEXT_ELEMENT}|<))*+{DATA_SCRIPT}"
+    rf"(?s)\A(?:{CUT_OFF}|(?!{DATA_SCRIPT}>)(?:[^<]++|{COMMENT}|{TEXT_ELEMENT}|<))*+{DATA_SCRIPT}"
     r"(>[^<]*+(?:<(?!/(?i:script)[\s/>])[^<]*+)*+)"
 )
 
@@ -66,13 +69,7 @@ def _malformed(entry: Column) -> Column:
     them is not an object."""
     values = F.try_variant_get(entry, "$.values", "variant")
     first = F.try_variant_get(entry, "$.values[0]", "variant")
-    return _not_a(entry, "OBJECT") | _not_a(values, "ARRAY") | (first.isNotNull() & ~is_kind(first, "OBJECT"))
-
-
-def _not_a(value: Column, kind: str) -> Column:
-    """There, not empty (null, "", 0, false, [] and {} are), and of another kind."""
-    empty = F.coalesce(as_text(value).isin("", "0", "false", "[]", "{}"), F.lit(False))
-    return value.isNotNull() & ~is_kind(value, kind, "VOID") & ~empty
+    return not_a(entry, "OBJECT") | not_a(values, "ARRAY") | (first.isNotNull() & ~is_kind(first, "OBJECT"))
 
 
 def parse_pages(
@@ -159,8 +156,12 @@ def pages_to_observations(
     pages: DataFrame, run_id: Column, observed_at_col: str = "observed_at", html_col: str = "html"
 ) -> tuple[DataFrame, DataFrame]:
     """Observations, and the rejected pages with their reason."""
-    parsed = parse_pages(pages, run_id, observed_at_col, html_col)
+    return split_parsed(parse_pages(pages, run_id, observed_at_col, html_col))
+
+
+def split_parsed(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Observations and rejects among the rows of ``parse_pages``."""
     good = parsed.filter(F.col("reject_reason").isNull()).select(*OBSERVATION_COLUMNS)
-    taken = [c for c in pages.columns if c not in OBSERVATION_COLUMNS and c != html_col]
+    taken = [c for c in parsed.columns if c not in OBSERVATION_COLUMNS and c != "reject_reason"]
     rejected = parsed.filter(F.col("reject_reason").isNotNull()).select(*taken, "observed_at", "scrape_run_id", "reject_reason")
     return good, rejected

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
+from lotwise.functions.coerce import is_kind
 from lotwise.functions.once import computed_once
 from lotwise.schemas import RATE_COLUMNS, RATE_PAYLOAD
 
@@ -20,13 +22,19 @@ def parse_rates(payloads: DataFrame, strict: bool = False) -> tuple[DataFrame, D
     of a payload. With ``strict``, reading the rates fails on the first reject.
     """
     kept = [c for c in payloads.columns if c != "payload"]
-    parsed = payloads.withColumn("document", F.from_json("payload", RATE_PAYLOAD, {"allowSingleQuotes": "false"}))
+    # In an array, text after the JSON value does not parse, or shows as a second element.
+    text = F.concat(F.lit("["), F.col("payload"), F.lit("]"))
+    documents = F.from_json(text, ArrayType(RATE_PAYLOAD), {"allowSingleQuotes": "false"})
+    parsed = payloads.withColumn("documents", documents)
+    parsed = parsed.withColumn("document", F.when(F.size("documents") == 1, F.get("documents", F.lit(0))))
     newest = F.try_element_at("document.rates", F.lit(-1))
+    mid = newest["mid"]
     rate = parsed.select(
         *kept,
         F.upper("requested_currency").alias("base_currency"),
         F.upper("document.code").alias("code"),
-        newest["mid"].alias("rate_to_pln"),
+        # Only a JSON number is a rate; text that spells one is not.
+        F.when(is_kind(mid, "BIGINT", "DECIMAL", "DOUBLE"), F.try_variant_get(mid, "$", "decimal(18,8)")).alias("rate_to_pln"),
         newest["no"].alias("source_table"),
         F.try_to_date(newest["effectiveDate"], "yyyy-MM-dd").alias("effective_date"),
         newest.isNotNull().alias("has_rate"),

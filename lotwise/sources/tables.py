@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Iterable, Mapping
 from typing import Any
+from urllib.parse import unquote
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lotwise.schemas import LEDGER, MONTH, OBSERVATION_COLUMNS, OBSERVATIONS, RATES, STORED_OBSERVATIONS
 from lotwise.session import require_utc
+from lotwise.versions import current_path, read_current
 
 
 def read_observations(
@@ -51,22 +52,28 @@ def read_newest(spark: SparkSession, path: str, rows: int) -> DataFrame:
 
 def read_rates(spark: SparkSession, path: str) -> DataFrame:
     require_utc(spark)
-    return spark.read.schema(RATES).parquet(path)
+    return spark.read.schema(RATES).parquet(current_path(spark, path))
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
     """Load ledger; empty before the first load."""
-    return read_or_empty(spark, path, LEDGER)
+    return read_current(spark, path, LEDGER)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Stored table, or no rows where nothing has been written yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
+def run_folders(spark: SparkSession, lake: str) -> dict[str, str]:
+    """Folder of each run that the lake has, from its file names: no data is read."""
+    found = {}
+    for file in read_observations(spark, lake).inputFiles():
+        folder = re.match(r"(.*/scrape_run_id=([^/]*))/", unquote(file))
+        if folder:
+            found[unquote(folder[2])] = folder[1]
+    return found
+
+
+def read_folders(spark: SparkSession, lake: str, folders: Iterable[str]) -> DataFrame:
+    """Observations of some run folders; no other one is listed or read."""
+    stored = spark.read.schema(OBSERVATIONS).option("basePath", lake).parquet(*folders)
+    return stored.select(*OBSERVATION_COLUMNS)
 
 
 def read_run(observations: DataFrame, run_id: str) -> DataFrame:

@@ -82,3 +82,29 @@ def test_empty_input(spark):
     assert reports.rpt_price_distribution(dim).collect() == []
     daily = marts.agg_daily(marts.fct_offer_observations(none))
     assert reports.rpt_marketplace_overview(dim, daily).collect() == []
+
+
+def test_exact_and_plain_daily_means_agree(spark, models):
+    nan, inf = float("nan"), float("inf")
+    days = [[10.0, nan, 20.0], [inf, 1.0], [-inf, inf], [1e17, 2.0], [1.5, 2.5], [None, 3.0], [None]]
+    rows = observations(
+        spark,
+        *[
+            {"observed_at": at(f"2024-01-{day + 1:02} 10:00:00"), "price_amount": price, "source_offer_id": str(i)}
+            for day, prices in enumerate(days)
+            for i, price in enumerate(prices)
+        ],
+    )
+    fact = marts.fct_offer_observations(rows)
+    plain, exact = (
+        [r.average_price_amount for r in marts.agg_daily(fact, scale).orderBy("observation_date").collect()] for scale in (None, 2)
+    )
+    assert repr(plain) == repr(exact)
+    assert repr(exact) == repr([nan, inf, nan, (1e17 + 2) / 2, 2.0, 3.0, None])
+
+
+def test_exact_and_plain_daily_means_agree_on_the_given_tables(models):
+    plain = {r.observation_date: r.average_price_amount for r in marts.agg_daily(models.fct()).collect()}
+    exact = {r.observation_date: r.average_price_amount for r in marts.agg_daily(models.fct(), 2).collect()}
+    assert plain.keys() == exact.keys() and len(plain) > 1000
+    assert all(a == b or abs(a - b) < 1e-9 * abs(b) for a, b in zip(plain.values(), (exact[d] for d in plain)))

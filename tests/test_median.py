@@ -72,3 +72,15 @@ def test_distribution_drops_rows_without_price_or_currency(spark, models):
     dim = models.dim()
     counted = reports.rpt_price_distribution(dim).groupBy().sum("offer_count").first()[0]
     assert counted == dim.filter("price_amount is not null and price_currency is not null").count()
+
+
+def test_values_are_shuffled_once(spark, tmp_path):
+    import re
+
+    path = str(tmp_path / "values")
+    spark.range(1000).selectExpr("cast(id % 7 as string) k", "cast(id % 90 as double) v").write.parquet(path)
+    summary = price_summary(spark.read.parquet(path), ["k"], "v")
+    summary.collect()
+    plan = summary._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert len(re.findall(r"FileScan parquet", plan)) == 1
+    assert "ReusedExchange" in plan

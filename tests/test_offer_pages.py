@@ -159,3 +159,27 @@ def test_reject_reasons(spark):
 def test_page_json(spark, html, expected):
     df = spark.createDataFrame([(html,)], "html string")
     assert extract_page_json(df).first().page_json == expected
+
+
+@pytest.mark.parametrize("tail", ["", "\"", "'"])
+def test_unterminated_tags_take_linear_time(spark, tail):
+    import time
+
+    def seconds(size):
+        page = ("<script " * (size // 8))[: size - 1] + tail
+        rows = spark.createDataFrame([(page,)], "html string")
+        start = time.perf_counter()
+        assert extract_page_json(rows).first().page_json is None
+        return time.perf_counter() - start
+
+    seconds(1024)
+    small, large = min(seconds(128 * 1024) for _ in range(3)), min(seconds(256 * 1024) for _ in range(3))
+    assert large < 2 and large < 2.5 * small + 0.3
+
+
+def test_data_before_a_cut_off_tag_is_found(spark):
+    data = '<script id="__NEXT_DATA__">{"a":1}</script>'
+    pages = [data + "<script ", "<title>x</title>" + data + '<style a="', "<textarea " + data, "<script a='" + data]
+    rows = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
+    found = [r.page_json for r in extract_page_json(rows).orderBy("i").collect()]
+    assert found == ['{"a":1}', '{"a":1}', None, None]

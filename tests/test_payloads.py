@@ -5,7 +5,7 @@ import pytest
 from pyspark.errors import PySparkException
 
 from lotwise.plans.load import load_rates
-from lotwise.sources.listings import distinct_urls, listing_pages, listing_urls, parse_listings
+from lotwise.sources.listings import distinct_urls, listing_edge_rejects, listing_pages, listing_urls, parse_listings
 from lotwise.sources.rate_payloads import parse_rates
 from lotwise.sources.tables import read_rates
 from tests.samples import at
@@ -49,6 +49,24 @@ def test_empty_urls_are_left_out_and_positions_kept(spark):
     assert listing_urls(listings(spark, no_edges), ["listing"]).collect() == []
 
 
+def test_odd_edges_are_rejected_one_by_one(spark):
+    good, other = {"node": {"url": "a"}}, {"node": {"url": "b"}}
+    odd = [
+        [good, "oops", other], [good, [1], other], [good, None, other], [good, {"node": 7}, other], [good, {"node": None}, other],
+        [good, {"node": {"url": {"a": 1}}}, other], [good, {"node": {"url": 5}}, other],
+        [good, {}, other], [good, {"node": {}}, other], [good, {"node": {"url": None}}, other], [good, {"node": {"url": ""}}, other],
+    ]
+    documents = [{**search(), "edges": edges} for edges in [*odd, {"node": {"url": "lost"}}, None, "x", []]]
+    parsed = listings(spark, *documents)
+    urls = {}
+    for row in listing_urls(parsed, ["listing"]).collect():
+        urls.setdefault(row.listing, []).append((row.edge_pos, row.url))
+    assert urls == {i: [(0, "a"), (2, "b")] for i in range(len(odd))}
+    rejects = {(r.listing, r.edge_pos, r.reject_reason) for r in listing_edge_rejects(parsed, ["listing"]).collect()}
+    n = len(odd)
+    assert rejects == {(i, 1, "bad_edge") for i in range(7)} | {(i, None, "bad_edges") for i in (n, n + 1, n + 2)}
+
+
 def test_planned_pages(spark):
     documents = [search(total=20), search(total=18), search(total=0), search(size=0), {"__typename": "AdvertSearchOutput"}, search(total=2**40)]
     planned, rejected = listing_pages(listings(spark, *documents), ["listing"])
@@ -103,6 +121,11 @@ BAD_RATES = [
     (("EUR", rate(date="2024-13-01")), "bad_date"),
     (("EUR", '{"code":"EUR","rates":[]}'), "bad_payload"),
     (("EUR", "<html>"), "bad_payload"),
+    (("EUR", rate() + " and more"), "bad_payload"),
+    (("EUR", rate() + "," + rate()), "bad_payload"),
+    (("EUR", rate() + rate()), "bad_payload"),
+    (("EUR", rate(mid='"4.5"')), "bad_payload"),
+    (("EUR", rate(mid="[4.5]")), "bad_payload"),
     (("EUR", None), "bad_payload"),
 ]
 
@@ -113,6 +136,18 @@ def test_bad_rates(spark):
     assert [r.reject_reason for r in rejected.collect()] == [reason for _, reason in BAD_RATES]
 
 
+def test_rate_spellings(spark):
+    given = ["4", "4.32", "432e-2", "1234567890.12345678"]
+    good, _ = parse_rates(payloads(spark, *[("EUR", rate(mid=m)) for m in given]))
+    assert [r.rate_to_pln for r in good.collect()] == [Decimal(m).quantize(Decimal("1e-8")) for m in given]
+
+
+@pytest.mark.parametrize("payload", [rate() + " x", rate() + rate(), rate(mid='"4.5"')])
+def test_strict_stops_on_text_that_is_not_one_document(spark, payload):
+    with pytest.raises(PySparkException, match="bad_payload"):
+        parse_rates(payloads(spark, ("EUR", rate()), ("EUR", payload)), strict=True)[0].collect()
+
+
 def test_strict_stops_on_a_bad_rate(spark):
     good, _ = parse_rates(payloads(spark, ("EUR", rate()), ("USD", rate())), strict=True)
     with pytest.raises(PySparkException, match="wrong_currency"):

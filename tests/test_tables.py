@@ -8,8 +8,9 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from lotwise import versions
 from lotwise.plans import alerts, daily, load, marts, quality, reports, staging
-from lotwise.schemas import LEDGER_KEYS, OBSERVATIONS
+from lotwise.schemas import LEDGER_KEYS, OBSERVATIONS, RATE_KEYS
 from lotwise.sinks import tables as sinks
 from lotwise.sources import tables as sources
 from tests.samples import at, observation, observations, rates
@@ -143,18 +144,96 @@ def test_crash_before_the_ledger_leaves_no_duplicates(spark, tmp_path, obs, monk
     assert same(sources.read_observations(spark, warehouse), obs)
 
 
-def test_many_pending_runs_are_joined_instead_of_named(spark, tmp_path, obs, monkeypatch):
+@pytest.mark.parametrize("runs", [1, 2000])
+def test_only_pending_runs_are_read(spark, tmp_path, runs):
+    """Runs that the ledger has are spoilt after their load: reading any would fail."""
     lake, warehouse, ledger = (str(tmp_path / n) for n in ("lake", "warehouse", "ledger"))
+    sinks.append_observations(observations(spark, {"scrape_run_id": "old:1"}, {"scrape_run_id": "old 2%"}), lake)
+    assert load.load_pending(spark, lake, warehouse, ledger, NOW) == 2
+    for file in glob.glob(f"{lake}/*/*.parquet"):
+        with open(file, "wb") as spoilt:
+            spoilt.write(b"spoilt")
+        os.remove(os.path.join(os.path.dirname(file), f".{os.path.basename(file)}.crc"))
+    fresh = spark.range(runs * 3).select(
+        *[
+            F.concat(F.lit("run-"), (F.col("id") % runs).cast("string")).alias(f.name)
+            if f.name == "scrape_run_id"
+            else (F.col("id").cast("string").alias(f.name) if f.name == "source_offer_id" else F.lit(observation()[f.name]).cast(f.dataType).alias(f.name))
+            for f in OBSERVATIONS.fields
+        ]
+    )
+    sinks.append_observations(fresh, lake)
+    assert load.load_pending(spark, lake, warehouse, ledger, NOW) == runs * 3
+    kept = sources.read_ledger(spark, ledger)
+    assert kept.count() == runs + 2 and kept.filter("rows_loaded = 3").count() == runs
+    assert load.load_pending(spark, lake, warehouse, ledger, NOW) == 0
+
+
+def test_compacted_tables_read_the_same(spark, tmp_path, obs, raw_rates):
+    lake, warehouse, ledger, rate_path = (str(tmp_path / n) for n in ("lake", "warehouse", "ledger", "rates"))
     sinks.append_observations(obs, lake)
-    monkeypatch.setattr(load, "MAX_NAMED_RUNS", 2)
-    assert load.load_pending(spark, lake, warehouse, ledger, NOW) == obs.count()
-    assert same(sources.read_observations(spark, warehouse), obs)
+    load.load_pending(spark, lake, warehouse, ledger, NOW)
+    loaded = sources.read_ledger(spark, ledger).collect()
+    raw_rates.write.parquet(rate_path)
+    before = daily.build_daily(spark, warehouse, rate_path, str(tmp_path / "before"), money_scale=2)
+    load.compact_rates(spark, rate_path)
+    load.compact_ledger(spark, ledger)
+    assert sorted(sources.read_ledger(spark, ledger).collect()) == sorted(loaded)
+    assert load.load_pending(spark, lake, warehouse, ledger, NOW) == 0
+    kept = sources.read_rates(spark, rate_path)
+    assert kept.count() == raw_rates.select(*RATE_KEYS).distinct().count() < raw_rates.count()
+    after = daily.build_daily(spark, warehouse, rate_path, str(tmp_path / "after"), money_scale=2)
+    for name in daily.ORDER_KEYS:
+        assert same(before[name], after[name]), name
+    # Later rates are appended to what is kept.
+    extra = rates(spark, ("2030-01-01", "EUR", "PLN", "5", "2030-01-01 00:00:00"))
+    extra.write.mode("append").parquet(versions.current_path(spark, rate_path))
+    assert sources.read_rates(spark, rate_path).count() == kept.count() + 1
+
+
+def test_crash_while_replacing_leaves_the_old_table(spark, tmp_path):
+    path = str(tmp_path / "table")
+    sinks.materialize(spark.range(5), path, ["id"])
+    broken = spark.range(10).select(F.raise_error(F.lit("lost")).cast("bigint").alias("id"))
+    with pytest.raises(Exception, match="lost"):
+        sinks.materialize(broken, path, ["id"])
+    assert sinks.read_back(spark, path).count() == 5
+    for n in (6, 7, 8):
+        sinks.materialize(spark.range(n), path, ["id"])
+        assert sinks.read_back(spark, path).count() == n
+    # The one before the current one stays for its readers; a crash leaves files of no version.
+    assert len([v for v in os.listdir(f"{path}/_versions") if v[:2] in ("v3", "v4")]) == 2
+
+
+def test_fact_files_hold_ranges_of_its_key(spark, tmp_path, obs):
+    path = str(tmp_path / "fact")
+    fact = marts.fct_offer_observations(obs)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.materialize(fact, path, daily.ORDER_KEYS["fct__offer_observations"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spans = []
+    for file in glob.glob(f"{versions.current_path(spark, path)}/*.parquet"):
+        keys = [(r.offer_key, r.observed_at) for r in spark.read.parquet(file).select("offer_key", "observed_at").collect()]
+        assert keys == sorted(keys)
+        spans.append((keys[0], keys[-1]))
+    spans.sort()
+    assert len(spans) > 4 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
 
 
 def test_ingest_pages(spark, tmp_path, models):
     pages = inputs.offer_pages(spark, models.sf_dir).drop("scrape_run_id")
     lake, rejects = str(tmp_path / "lake"), str(tmp_path / "rejects")
-    load.ingest_pages(pages, "run-7", lake, rejects)
+    reads = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(html):
+        reads.add(1)
+        return html
+
+    load.ingest_pages(pages.withColumn("html", counted.asNondeterministic()("html")), "run-7", lake, rejects)
+    assert reads.value == pages.count()
     stored = sources.read_observations(spark, lake).count()
     rejected = spark.read.parquet(rejects)
     assert stored > 0 and rejected.count() > 0 and stored + rejected.count() == pages.count()
@@ -179,7 +258,7 @@ def test_daily_build(spark, tmp_path, obs, raw_rates, models):
     assert same(spark.read.parquet(f"{extracts}/rpt__fuel_type"), models.fuel())
     # A second build replaces, it does not append.
     daily.build_daily(spark, raw, rate_path, out)
-    assert same(spark.read.parquet(f"{out}/dim__offers"), dim)
+    assert same(sinks.read_back(spark, f"{out}/dim__offers"), dim)
 
 
 def test_failing_check_stops_the_build(spark, tmp_path):

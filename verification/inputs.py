@@ -77,15 +77,18 @@ SELECT *, concat(
 FROM (SELECT *, CAST(source_offer_id AS BIGINT) % 37 AS shape FROM obs) AS shaped
 """
 
+# Edges that follow the good ones of some listings: four are rejects, one only has no URL.
+ODD_EDGES = ',"oops",[1],{"node":7},{"node":{"url":{"a":1}}},{"node":{}}'
+
 LEDGER_BEFORE = "run-1996-01"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:
-    """A given table. One in fewer files than there are threads would be read, and all that
-    follows done, by as few tasks; its rows are then spread by ``keys``."""
+    """A given table. One that is read in fewer splits than there are threads, so a small one,
+    would have all that follows done by as few tasks; its rows are then spread by ``keys``."""
     table = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     threads = spark.sparkContext.defaultParallelism
-    if keys and len(table.inputFiles()) < threads:
+    if keys and table.rdd.getNumPartitions() < threads:
         return table.repartition(threads, *keys)
     return table
 
@@ -148,7 +151,8 @@ def offer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Listing payloads: per run (target) and block of nine offer ids (page) one JSON
     document with the offers seen. Every fifth block is in two formats of nesting; an offer
-    divisible by 25 has an empty URL."""
+    divisible by 25 has an empty URL. Every seventh block ends with odd edges, every 29th has
+    an object in place of its edges."""
     seen = observations(spark, sf_dir).select("scrape_run_id", F.col("source_offer_id").cast("bigint").alias("offer"), "url")
     edge = F.struct(
         F.struct(
@@ -163,6 +167,8 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     block = F.col("page")
     edges = F.array_join(F.transform("edges", lambda e: e["edge"]), ",")
+    edges = F.concat(F.lit("["), edges, F.when(block % 7 == 0, F.lit(ODD_EDGES)).otherwise(F.lit("")), F.lit("]"))
+    edges = F.when(block % 29 == 0, F.lit('{"node":{"url":"lost"}}')).otherwise(edges)
     size = F.when(block % 11 == 0, F.lit("0")).otherwise(F.lit("9"))
     total = F.when(block % 13 == 0, F.lit("")).otherwise(
         F.concat(F.lit('"totalCount":'), (block * 7 % 100).cast("string"), F.lit(","))
@@ -170,7 +176,7 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.when(block % 17 == 0, F.lit("OtherOutput")).otherwise(F.lit("AdvertSearchOutput"))
     found = F.concat(
         F.lit('{"__typename":"'), name, F.lit('",'), total,
-        F.lit('"pageInfo":{"pageSize":'), size, F.lit('},"edges":['), edges, F.lit("]}"),
+        F.lit('"pageInfo":{"pageSize":'), size, F.lit('},"edges":'), edges, F.lit("}"),
     )
     later = F.lit('{"__typename":"AdvertSearchOutput","totalCount":1,"pageInfo":{"pageSize":1},"edges":[]}')
     payload = (
@@ -184,17 +190,26 @@ def listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rate_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A payload per fetch with the rate before it and the rate of that fetch; some ask for
-    one currency and hold another, some hold a zero rate."""
+    one currency and hold another, some hold a zero rate, a rate as text, more text after the
+    document or a second document."""
     fetched = spark.sql(RATES, orders=_table(spark, sf_dir, "orders", "o_orderkey"))
     key = F.split("source_table", "/")[0].cast("int")
     entry = '{"no":"%s","effectiveDate":"%s","mid":%s}'
     older = F.format_string(entry, F.lit("0/A/NBP"), F.lit("1990-01-01"), F.lit("9.5"))
-    mid = F.when(key % 10 == 3, F.lit("0")).when(key % 10 == 4, F.lit("-1.5")).otherwise(
-        F.col("rate_to_pln").cast("string")
+    shape = key % 15
+    given = F.col("rate_to_pln").cast("string")
+    mid = (
+        F.when(key % 10 == 3, F.lit("0"))
+        .when(key % 10 == 4, F.lit("-1.5"))
+        .when(shape == 11, F.concat(F.lit('"'), given, F.lit('"')))
+        .otherwise(given)
     )
     newest = F.format_string(entry, F.col("source_table"), F.col("effective_date").cast("string"), mid)
     body = F.when(key % 10 == 5, F.lit("")).otherwise(F.concat(older, F.lit(","), newest))
     payload = F.concat(F.lit('{"table":"A","code":"'), F.col("base_currency"), F.lit('","rates":['), body, F.lit("]}"))
+    payload = F.when(shape == 12, F.concat(payload, F.lit(" and more"))).when(
+        shape == 13, F.concat(payload, F.lit(" "), payload)
+    ).otherwise(payload)
     asked = F.when(key % 10 == 6, F.lit("CHF")).otherwise(F.lower("base_currency"))
     return fetched.select(
         asked.alias("requested_currency"),

@@ -163,7 +163,7 @@ CTES: dict[str, tuple[list[str], str]] = {
         ["listed"],
         """
         SELECT target, page, CAST(pos AS INT) AS edge_pos, url
-        FROM listed WHERE found AND offer % 25 <> 0""",
+        FROM listed WHERE found AND offer % 25 <> 0 AND page % 29 <> 0""",
     ),
     "sized": (
         ["listed"],
@@ -176,7 +176,8 @@ CTES: dict[str, tuple[list[str], str]] = {
     "payloads": (
         ["rates"],
         """
-        SELECT *, CAST(split_part(source_table, '/', 1) AS INT) % 10 AS shape FROM rates""",
+        SELECT *, CAST(split_part(source_table, '/', 1) AS INT) % 10 AS shape,
+               CAST(split_part(source_table, '/', 1) AS INT) % 15 AS tail FROM rates""",
     ),
     "ranked_in_run": (
         ["obs"],
@@ -199,8 +200,8 @@ CASE WHEN shape = 0 THEN 'no_page_json' WHEN shape = 1 THEN 'bad_json' WHEN shap
      WHEN mileage_km IS NULL THEN 'bad_mileage' WHEN shape = 5 OR price_amount IS NULL THEN 'bad_price' END
 """
 RATE_REASON = """
-CASE WHEN shape IN (5, 7) THEN 'bad_payload' WHEN shape = 6 THEN 'wrong_currency'
-     WHEN shape IN (3, 4) THEN 'non_positive_rate' END
+CASE WHEN shape IN (5, 7) OR tail IN (12, 13) THEN 'bad_payload' WHEN shape = 6 THEN 'wrong_currency'
+     WHEN shape IN (3, 4) THEN 'non_positive_rate' WHEN tail = 11 THEN 'bad_payload' END
 """
 PAGES_REASON = """
 CASE WHEN NOT found THEN 'no_search_node' WHEN total IS NULL THEN 'missing_key'
@@ -323,10 +324,19 @@ SELECTS: dict[str, tuple[list[str], str]] = {
         """
         SELECT target, page, found,
                CASE WHEN found AND page % 13 <> 0 THEN page * 7 % 100 END AS total_count,
-               CAST(CASE WHEN found THEN count(*) END AS INT) AS edge_count
+               CAST(CASE WHEN found AND page % 29 <> 0 THEN count(*) + CASE WHEN page % 7 = 0 THEN 5 ELSE 0 END END AS INT) AS edge_count
         FROM listed GROUP BY target, page, found""",
     ),
     "s8_urls": (["urls"], "SELECT * FROM urls"),
+    "s8_edge_rejects": (
+        ["listed"],
+        """
+        SELECT target, page, CAST(last + step AS INT) AS edge_pos, 'bad_edge' AS reject_reason
+        FROM (SELECT target, page, max(pos) AS last FROM listed
+              WHERE found AND page % 29 <> 0 AND page % 7 = 0 GROUP BY target, page) l, (VALUES (1), (2), (3), (4)) s(step)
+        UNION ALL
+        SELECT DISTINCT target, page, CAST(NULL AS INT), 'bad_edges' FROM listed WHERE found AND page % 29 = 0""",
+    ),
     "s9_pages": (
         ["sized"],
         f"""

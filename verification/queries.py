@@ -117,7 +117,7 @@ def _typed_nodes(m: Models) -> DataFrame:
         "page",
         F.col("reject_reason").isNull().alias("found"),
         F.col("search.totalCount").cast("bigint").alias("total_count"),
-        F.size(F.col("search.edges")).alias("edge_count"),
+        F.size(listings.edge_list(F.col("search.edges"))).alias("edge_count"),
     )
 
 
@@ -142,6 +142,7 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "s6_rejects": lambda m: _pages(m)[1],
     "s7_typed_node": _typed_nodes,
     "s8_urls": _listing_urls,
+    "s8_edge_rejects": lambda m: listings.listing_edge_rejects(_parsed_listings(m), ["target", "page"]),
     "s9_pages": lambda m: _listing_pages(m)[0],
     "s9_page_rejects": lambda m: _listing_pages(m)[1],
     "s10_first_seen": lambda m: listings.distinct_urls(_listing_urls(m), ["target", "page", "edge_pos"]),
