@@ -45,6 +45,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores before those that ``df`` has columns of."""
+    taken = {c.lower() for c in df.columns}
+    found = []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        found.append(name)
+    return found
+
+
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     """``df`` marked for broadcast if it has no more than ``rows`` rows, which is counted."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
@@ -57,42 +69,42 @@ def with_fields(df: DataFrame, made: str, drop: tuple[str, ...] = ()) -> StructT
 
 def numbered(df: DataFrame, groups: list[str], key: list[str], buckets: int | None = None) -> DataFrame:
     """Add ``rank`` (from 0, gapless, in each group) and ``position`` (the same over all rows,
-    groups in their order). The groups must have a bounded number, their sizes need not:
-    each is cut into hash buckets in proportion to its size, so that no task orders more
+    groups in their order) to rows without such columns or ones that begin with ``_n_``.
+    The groups must have a bounded number, their sizes need not: each is cut into hash buckets in proportion to its size, so that no task orders more
     than about 1/``buckets`` of the rows. ``key`` must be unique; ``df`` is read three times."""
     buckets = buckets or 16 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sizes = df.groupBy(*groups).agg(F.count("*").alias("_size"))
-    share = F.ceil(F.col("_size") * F.lit(float(buckets)) / F.sum("_size").over(Window.partitionBy()))
-    cut = sizes.select(*groups, share.cast("int").alias("_cuts"))
+    sizes = df.groupBy(*groups).agg(F.count("*").alias("_n_size"))
+    share = F.ceil(F.col("_n_size") * F.lit(float(buckets)) / F.sum("_n_size").over(Window.partitionBy()))
+    cut = sizes.select(*groups, share.cast("int").alias("_n_cuts"))
     # At most one row a group: broadcast whatever the size of the data.
-    cut_rows = _same(df, F.broadcast(cut), groups).withColumn("_cut", F.expr(f"pmod(xxhash64({', '.join(key)}), _cuts)"))
-    counts = cut_rows.groupBy(*groups, "_cut").agg(F.count("*").alias("_rows"))
-    before = Window.orderBy(*groups, "_cut").rowsBetween(Window.unboundedPreceding, -1)
-    within = Window.partitionBy(*groups).orderBy("_cut").rowsBetween(Window.unboundedPreceding, -1)
+    cut_rows = _same(df, F.broadcast(cut), groups).withColumn("_n_cut", F.expr(f"pmod(xxhash64({', '.join(key)}), _n_cuts)"))
+    counts = cut_rows.groupBy(*groups, "_n_cut").agg(F.count("*").alias("_n_rows"))
+    before = Window.orderBy(*groups, "_n_cut").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy(*groups).orderBy("_n_cut").rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(
         *groups,
-        "_cut",
-        F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"),
-        F.coalesce(F.sum("_rows").over(within), F.lit(0)).alias("_within"),
+        "_n_cut",
+        F.coalesce(F.sum("_n_rows").over(before), F.lit(0)).alias("_n_before"),
+        F.coalesce(F.sum("_n_rows").over(within), F.lit(0)).alias("_n_within"),
     )
-    place = F.row_number().over(Window.partitionBy(*groups, "_cut").orderBy(*key)) - 1
+    place = F.row_number().over(Window.partitionBy(*groups, "_n_cut").orderBy(*key)) - 1
     # At most ``buckets`` rows and one for each group.
-    joined = _same(cut_rows.withColumn("_place", place), F.broadcast(starts), [*groups, "_cut"])
+    joined = _same(cut_rows.withColumn("_n_place", place), F.broadcast(starts), [*groups, "_n_cut"])
     return joined.select(
         *df.columns,
-        (F.col("_within") + F.col("_place")).cast("long").alias("rank"),
-        (F.col("_before") + F.col("_place")).cast("long").alias("position"),
+        (F.col("_n_within") + F.col("_n_place")).cast("long").alias("rank"),
+        (F.col("_n_before") + F.col("_n_place")).cast("long").alias("position"),
     )
 
 
 def _same(left: DataFrame, right: DataFrame, names: list[str]) -> DataFrame:
     """Inner join on equal columns, where null equals null."""
-    other = right.select(*(F.col(n).alias(f"_r_{n}") if n in names else F.col(n) for n in right.columns))
+    other = right.select(*(F.col(n).alias(f"_n_r_{n}") if n in names else F.col(n) for n in right.columns))
     on = None
     for n in names:
-        same = left[n].eqNullSafe(other[f"_r_{n}"])
+        same = left[n].eqNullSafe(other[f"_n_r_{n}"])
         on = same if on is None else on & same
-    return left.join(other, on).drop(*(f"_r_{n}" for n in names))
+    return left.join(other, on).drop(*(f"_n_r_{n}" for n in names))
 
 
 by_value(__name__)

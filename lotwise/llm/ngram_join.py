@@ -154,7 +154,7 @@ def sets_of(docs: DataFrame, words: int = WORDS, share: float = COMMON) -> DataF
             n = int(many.sum())
             return pa.RecordBatch.from_arrays(
                 [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
-                 pa.array([False] * n), _longs(element[many]), pa.array(held[many], pa.int64())], names)
+                 pa.array([False] * n, pa.bool_()), _longs(element[many]), pa.array(held[many], pa.int64())], names)
 
         names = ["doc_id", "n_shingles", "node", "sketch", "row", "element", "held"]
         for batch in rows:
@@ -172,7 +172,7 @@ def sets_of(docs: DataFrame, words: int = WORDS, share: float = COMMON) -> DataF
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(nodes, pa.int64()),
-                 pa.array(sketches, pa.binary()), pa.array([True] * n), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names)
+                 pa.array(sketches, pa.binary()), pa.array([True] * n, pa.bool_()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names)
             if size > BLOCK or len(seen) > SEEN:
                 yield counted()
                 seen, gathered, size = set(), [], 0

@@ -94,16 +94,17 @@ def packed(pieces: DataFrame, key: list[str], capacity: int = CAPACITY) -> DataF
     """Add ``sequence_id`` and ``offset``. ``pieces`` has ``length`` (1 to ``capacity``) and a
     unique ``key``; it is read four times, so it should be a stored table. Its histogram, at
     most ``capacity`` rows, is all that the driver sees. Input columns called sequence_id or
-    offset are replaced. An empty input gives an empty result."""
+    offset are replaced; others stay. An empty input gives an empty result."""
     spark = pieces.sparkSession
-    pieces = pieces.drop("sequence_id", "offset")
+    kept = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    pieces = pieces.select(F.struct(*kept).alias("row"), "length", F.struct(*key).alias("key"))
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}
     slots = spark.createDataFrame(plan(histogram, capacity), "_length long, _first long, _ranks long, _sequence long, offset long")
-    ranked = numbered(pieces, ["length"], key)
+    ranked = numbered(pieces, ["length"], ["key"])
     here = (F.col("length") == F.col("_length")) & (F.col("rank") >= F.col("_first")) & (F.col("rank") < F.col("_first") + F.col("_ranks"))
     # The plan is bounded by the capacity (a few thousand ranges), however many pieces there are.
     return ranked.join(F.broadcast(slots), here).select(
-        *pieces.columns, (F.col("_sequence") + F.col("rank") - F.col("_first")).alias("sequence_id"), "offset"
+        "row.*", (F.col("_sequence") + F.col("rank") - F.col("_first")).alias("sequence_id"), "offset"
     )
 
 

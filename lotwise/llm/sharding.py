@@ -49,18 +49,21 @@ def sharded(rows: DataFrame, dimensions: list[str], key: list[str], shards: int
     so of one run of files, are near in every dimension; a reader that filters on some of
     them skips most files. A crowded cell is numbered in many hash buckets of ``key``, and
     may fill several shards. ``rows`` should be a stored table; it is read a few times.
-    Repeated rows get slots of their own; an empty table gives an empty one."""
+    Repeated rows get slots of their own; an empty table gives an empty one. Input columns
+    called shard or slot are replaced; others stay."""
     total = rows.count()
-    kept = rows.columns
-    rows = quantised(rows, dimensions, bits)
+    kept = [c for c in rows.columns if c not in ("shard", "slot")]
+    places = [F.col(d).alias(f"_x{i}") for i, d in enumerate(dimensions)]
+    rows = rows.select(F.struct(*kept).alias("row"), F.struct(*key).alias("key"), *places)
+    rows = quantised(rows, [f"_x{i}" for i in range(len(dimensions))], bits)
     cells = [f"_q{i}" for i in range(len(dimensions))]
     # The cells number 2**(bits * dimensions) at most, whatever the number of rows.
     curve = rows.select(cells).distinct().withColumn("_curve", index_column(cells, bits))
-    ordered = numbered(rows.join(F.broadcast(curve), cells), ["_curve"], key)
+    ordered = numbered(rows.join(F.broadcast(curve), cells), ["_curve"], ["key"])
     shard = F.expr(f"position * {shards} div {max(1, total)}")
     first = F.expr(f"(_shard * {total} + {shards - 1}) div {shards}")
     return ordered.withColumn("_shard", shard).select(
-        *kept, F.col("_shard").cast("int").alias("shard"), (F.col("position") - first).cast("long").alias("slot")
+        "row.*", F.col("_shard").cast("int").alias("shard"), (F.col("position") - first).cast("long").alias("slot")
     )
 
 

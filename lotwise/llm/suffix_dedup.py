@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import by_value, stored, table
+from lotwise.llm.common import by_value, free_names, stored, table
 from lotwise.llm.induced import Hashes, suffix_order
 
 SPAN, GRAM = 100, 32
@@ -268,16 +268,19 @@ def _single(texts: DataFrame) -> bool:
     return not texts.filter("b <> 0").limit(1).count()
 
 
-def with_spans(docs: DataFrame) -> DataFrame:
-    """All rows with ``_spans``: sorted arrays of (start, stop), null where nothing goes."""
+def with_spans(docs: DataFrame, name: str) -> DataFrame:
+    """All rows with a new column ``name``: sorted arrays of (start, stop), null where nothing
+    goes."""
     texts = keyed(docs)
     # Spans of one document number less than its bytes.
-    spans = stored(repeated(texts), "spans").groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("_spans"))
+    spans = stored(repeated(texts), "spans").groupBy("a", "b").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias(name))
+    own = free_names(docs, name, "a", "b", "left_a", "left_b")[1:]
+    spans = spans.withColumnsRenamed({"a": own[0], "b": own[1]})
     single = _single(texts)
     a = F.coalesce("doc_id", F.lit(-(2**63))).cast("long")
     b = F.lit(0).cast("long") if single else F.xxhash64(F.coalesce("text", F.lit("")))
-    left = docs.withColumn("_a", a).withColumn("_b", b)
-    return left.join(spans, (F.col("_a") == F.col("a")) & (F.col("_b") == F.col("b")), "left").drop("_a", "_b", "a", "b")
+    left = docs.withColumns({own[2]: a, own[3]: b})
+    return left.join(spans, (F.col(own[2]) == F.col(own[0])) & (F.col(own[3]) == F.col(own[1])), "left").drop(*own)
 
 
 def merged(spans) -> list[tuple[int, int]]:
@@ -320,7 +323,7 @@ def digests(docs: DataFrame) -> DataFrame:
             names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
 
-    rows = with_spans(docs.select("doc_id", "text"))
+    rows = with_spans(docs.select("doc_id", "text"), "spans")
     return rows.mapInArrow(cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -349,7 +352,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), *others], ["text", *batch.schema.names[2:]])
 
     others = [c for c in docs.columns if c != "text"]
-    rows = with_spans(docs).select("text", "_spans", *others)
+    (name,) = free_names(docs, "spans")
+    rows = with_spans(docs, name).select("text", name, *others)
     schema = ", ".join(f"`{n}` {t}" for n, t in [("text", "string"), *((n, t) for n, t in docs.dtypes if n != "text")])
     return rows.mapInArrow(cut, schema).select(*docs.columns)
 

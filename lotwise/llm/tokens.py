@@ -1,16 +1,16 @@
 """Byte-level BPE as a tree reduction: halves are encoded by themselves and joined.
 
-A text longer than a leaf is cut in the middle and both halves are encoded recursively.
-Two neighbours are joined by encoding anew a window around the cut that grows until tokens
-outside it cannot change:
+A text longer than a leaf is cut in the middle, and its halves are encoded recursively. Two
+neighbours are joined by a window around the cut that grows until tokens outside it cannot
+change, and that is encoded anew:
 
 * between words, the window grows to the next place on either side where white space
   follows other text. No match of the split pattern reaches over such a place, and the
-  pattern looks at no character before its match, so matches left and right stay;
-* within one match (a run without white space longer than a leaf), the window grows by
-  tokens until the outermost token of the window and its outer neighbour encode, as a
-  pair, to themselves. A sequence of tokens is the BPE of its bytes if each pair of
-  neighbours is, so the joined sequence is proven.
+  pattern looks at no character before its match, so matches left and right stay. As the
+  window follows from the text alone, the halves are encoded without it;
+* within one long match, the window grows by tokens until the outermost token of the window
+  and its outer neighbour encode, as a pair, to themselves. A sequence of tokens is the BPE
+  of its bytes if each pair of neighbours is, so the joined sequence is proven.
 
 Decoding concatenates the tokens' bytes up the same tree.
 """
@@ -18,6 +18,7 @@ Decoding concatenates the tokens' bytes up the same tree.
 from __future__ import annotations
 
 import base64
+import heapq
 import re
 
 import numpy as np
@@ -80,39 +81,21 @@ class TreeEncoder(dict):
     def _tree(self, text: str, low: int, high: int) -> bytes:
         if high - low <= self.leaf:
             return self._leaf(text[low:high])
-        cut = (low + high) // 2
-        left, right = self._tree(text, low, cut), self._tree(text, cut, high)
-        start, stop = self._window(text, low, cut, high)
-        return self._without(left, text[start:cut], -1) + self._leaf(text[start:stop]) + self._without(right, text[cut:stop], 1)
+        start, stop = self._window(text, low, (low + high) // 2, high)
+        return self._tree(text, low, start) + self._leaf(text[start:stop]) + self._tree(text, stop, high)
 
     def _window(self, text: str, low: int, cut: int, high: int) -> tuple[int, int]:
         """The nearest places around ``cut`` that no match reaches over."""
-        width, start, stop = 64, low, high
-        while cut - width > low:
-            if found := _LAST_GAP.match(text, cut - width, min(high, cut + 1)):
+        width, start = 64, low
+        while True:
+            if found := _LAST_GAP.match(text, max(low, cut - width), cut + 1):
                 start = found.end()
                 break
+            if cut - width <= low:
+                break
             width *= 2
-        else:
-            if found := _LAST_GAP.match(text, low, min(high, cut + 1)):
-                start = found.end()
-        if start < cut or (cut > low and start == low):
-            found = _GAP.search(text, max(low, cut - 1), high)
-            stop = found.end() if found else high
-        else:
-            stop = cut
-        return start, stop
-
-    def _without(self, ids: bytes, text: str, side: int) -> bytes:
-        """``ids`` without the tokens of ``text`` at the end (-1) or the beginning (1)."""
-        left, n = len(text.encode()), 0
-        while left > 0:
-            at = len(ids) - 4 * (n + 1) if side < 0 else 4 * n
-            left -= len(self.vocabulary[int.from_bytes(ids[at : at + 4], "little")])
-            n += 1
-        if left:
-            raise AssertionError("a token reaches over the window's edge")
-        return ids[: len(ids) - 4 * n] if side < 0 else ids[4 * n :]
+        found = _GAP.search(text, max(start, cut - 1), high)
+        return start, found.end() if found and found.end() < high else high
 
     def _leaf(self, text: str) -> bytes:
         if not _REPEATED.search(text):
@@ -161,6 +144,8 @@ class TreeEncoder(dict):
 
     def _merge(self, data: bytes) -> list[int]:
         """The definition: merge the leftmost pair of the lowest rank until none is left."""
+        if len(data) > 64:
+            return self._merge_long(data)
         parts = [data[i : i + 1] for i in range(len(data))]
         none = len(self.ranks) + 1
         while len(parts) > 1:
@@ -171,5 +156,30 @@ class TreeEncoder(dict):
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
         return [self.ranks[p] for p in parts]
 
+    def _merge_long(self, data: bytes) -> list[int]:
+        """The same with a heap of pairs, for windows that grow over much repetition."""
+        n, ranks = len(data), self.ranks
+        stop, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, i + 2) for i in range(n - 1) if (r := ranks.get(data[i : i + 2])) is not None]
+        heapq.heapify(heap)
+        while heap:
+            _, at, end = heapq.heappop(heap)
+            middle = stop[at]
+            # Pairs whose tokens have been merged with others meanwhile are left over.
+            if middle <= at or middle >= n or stop[middle] != end:
+                continue
+            stop[at], stop[middle] = end, 0
+            if end < n:
+                before[end] = at
+                if (r := ranks.get(data[at : stop[end]])) is not None:
+                    heapq.heappush(heap, (r, at, stop[end]))
+            if at and (r := ranks.get(data[before[at] : end])) is not None:
+                heapq.heappush(heap, (r, before[at], end))
+        found, at = [], 0
+        while at < n:
+            found.append(ranks[data[at : stop[at]]])
+            at = stop[at]
+        return found
+
 
 by_value(__name__)
