@@ -38,8 +38,11 @@ COMMON = 0.0005
 BLOCK, SEEN = 4_000_000, 1_000_000
 #: Rows of one or two longs that may be broadcast (about 30 MB); more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
-#: Bits of the largest sketch.
-SKETCH = 1 << 16
+#: Bits of the largest sketch, and of the short one that nodes carry into large buckets.
+SKETCH, SHORT = 1 << 16, 512
+#: Nodes of a bucket whose pairs are plainly joined; of a block of a larger bucket; pairs of
+#: those that are compared at once.
+SMALL, NODES, PAIRS = 4, 4096, 200_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -71,10 +74,11 @@ def node_of(elements: np.ndarray) -> int | None:
     return xxhash.xxh3_64_intdigest(elements.tobytes()) - 2**63 if len(elements) else None
 
 
-def sketch_of(elements: np.ndarray) -> bytes:
-    """Parities of the numbers of elements by their last bits; as many bits as the first
-    power of two from their number on, 64 at least."""
-    bits = min(SKETCH, max(64, 1 << (len(elements) - 1).bit_length())) if len(elements) else 64
+def sketch_of(elements: np.ndarray, bits: int | None = None) -> bytes:
+    """Parities of the numbers of elements by their last bits; if not said, as many bits as
+    the first power of two from their number on, 64 at least."""
+    if bits is None:
+        bits = min(SKETCH, max(64, 1 << (len(elements) - 1).bit_length())) if len(elements) else 64
     return np.packbits(np.bincount((elements & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).tobytes()
 
 
@@ -141,7 +145,7 @@ def _longs(values: np.ndarray) -> pa.Array:
 
 
 def sets_of(docs: DataFrame, words: int = WORDS, share: float = COMMON) -> DataFrame:
-    """Per row: doc_id, n_shingles, node and sketch. Besides, rows with ``element`` and ``held`` (and
+    """Per row: doc_id, n_shingles, node, sketch and short (sketch). Besides, rows with ``element`` and ``held`` (and
     no ``row``): elements that many sets of a block of rows hold. An element that is common
     in all is so in some block, so adding the blocks' counts finds it."""
 
@@ -153,18 +157,19 @@ def sets_of(docs: DataFrame, words: int = WORDS, share: float = COMMON) -> DataF
             many = held >= max(4, share * len(gathered))
             n = int(many.sum())
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()),
+                [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
                  pa.array([False] * n, pa.bool_()), _longs(element[many]), pa.array(held[many], pa.int64())], names)
 
-        names = ["doc_id", "n_shingles", "node", "sketch", "row", "element", "held"]
+        names = ["doc_id", "n_shingles", "node", "sketch", "short", "row", "element", "held"]
         for batch in rows:
-            counts, nodes, sketches = [], [], []
+            counts, nodes, sketches, shorts = [], [], [], []
             for text in batch.column(1).to_pylist():
                 own = shingles(text, words)
                 node = node_of(own)
                 counts.append(len(own))
                 nodes.append(node)
                 sketches.append(sketch_of(own))
+                shorts.append(sketch_of(own, SHORT))
                 if node is not None and node not in seen:
                     seen.add(node)
                     gathered.append(own)
@@ -172,14 +177,14 @@ def sets_of(docs: DataFrame, words: int = WORDS, share: float = COMMON) -> DataF
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(nodes, pa.int64()),
-                 pa.array(sketches, pa.binary()), pa.array([True] * n, pa.bool_()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names)
+                 pa.array(sketches, pa.binary()), pa.array(shorts, pa.binary()), pa.array([True] * n, pa.bool_()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names)
             if size > BLOCK or len(seen) > SEEN:
                 yield counted()
                 seen, gathered, size = set(), [], 0
         if gathered:
             yield counted()
 
-    schema = "doc_id long, n_shingles long, node long, sketch binary, row boolean, element long, held long"
+    schema = "doc_id long, n_shingles long, node long, sketch binary, short binary, row boolean, element long, held long"
     return docs.select("doc_id", "text").mapInArrow(batches, schema)
 
 
@@ -253,6 +258,69 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int = W
     return both.mapInArrow(compared, "a long, b long")
 
 
+def crowded(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes that share a row, are not known to be connected (``label``) and
+    may be linked by their sizes and short sketches. ``members`` counts the nodes of a row.
+    Those of one row come together in a task, which compares them and gives on only the
+    pairs that pass. A row of very many nodes is cut into blocks, and every two of these
+    come together, so that a task never holds more than two blocks."""
+    width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    carried = rows.select("sig", "node", "label", "members").join(nodes.select("node", "n_shingles", "short"), "node")
+    blocks = F.ceil(F.col("members") / NODES).cast("int")
+    own, other = F.pmod(F.xxhash64("node"), blocks).cast("int"), F.explode(F.sequence(F.lit(0), blocks - 1))
+    carried = carried.withColumn("own", own).withColumn("other", other)
+    # The two blocks make a place of their own in the order: a hash of row and blocks.
+    place = F.when(blocks == 1, F.col("sig")).otherwise(F.xxhash64("sig", F.least("own", "other"), F.greatest("own", "other")))
+    carried = carried.select(place.alias("sig"), "node", "label", "n_shingles", "short")
+    carried = carried.repartition(width, "sig").sortWithinPartitions("sig")
+
+    def pairs(batches):
+        held = None
+        for batch in batches:
+            sig, node, label, size = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+            short = np.frombuffer(b"".join(batch.column(4).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+            columns = [sig, node, label, size, short]
+            if held is not None:
+                columns = [np.concatenate(c) for c in zip(held, columns)]
+            # The last row's nodes may go on in the next batch.
+            changes = np.flatnonzero(columns[0][1:] != columns[0][:-1])
+            end = int(changes[-1]) + 1 if len(changes) else 0
+            held = [c[end:] for c in columns]
+            yield from found([c[:end] for c in columns])
+        if held is not None:
+            yield from found(held)
+
+    def found(columns):
+        sig, node, label, size, short = columns
+        n = len(sig)
+        if n < 2:
+            return
+        fresh = np.append(True, sig[1:] != sig[:-1])
+        stop = np.append(np.flatnonzero(fresh)[1:], n)[np.cumsum(fresh) - 1]
+        # Every node with those after it in its row.
+        after = stop - np.arange(n) - 1
+        at, offset = 0, 0
+        while at < n:
+            left, right = [], []
+            room = PAIRS
+            while at < n and room > 0:
+                taken = min(room, int(after[at]) - offset)
+                left.append(np.full(taken, at))
+                right.append(np.arange(at + 1 + offset, at + 1 + offset + taken))
+                room, offset = room - taken, offset + taken
+                if offset >= after[at]:
+                    at, offset = at + 1, 0
+            x, y = np.concatenate(left), np.concatenate(right)
+            possible = (label[x] != label[y]) & (4 * np.minimum(size[x], size[y]) >= 3 * np.maximum(size[x], size[y]))
+            x, y = x[possible], y[possible]
+            near = np.bitwise_count(short[x] ^ short[y]).sum(axis=1, dtype=np.int64) <= (size[x] + size[y]) // 7
+            both = np.sort(np.stack([node[x[near]], node[y[near]]]), axis=0)
+            both = np.unique(both, axis=1)
+            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+
+    return carried.mapInArrow(pairs, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, n_shingles and component_id of every row. Null and empty texts have no
     shingles and are linked with nothing; repeated rows have equal sets and are linked. A
@@ -261,7 +329,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     found = stored(sets_of(docs, words), "shingles")
     rows = found.filter("row").select("doc_id", "n_shingles", "node")
     # Copies are aggregated before the shuffle.
-    nodes = stored(found.filter("row AND node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch")), "nodes")
+    nodes = stored(found.filter("row AND node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch"), F.max("short").alias("short")), "nodes")
     least = COMMON * nodes.count()
     # At most (elements of all sets / COMMON / sets) are common: some hundred per shingle of a
     # mean text, however many there are.
@@ -270,23 +338,20 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
 
     line = Window.partitionBy("sig")
     buckets = indexed(docs, common, words).withColumn("first", F.min("node").over(line)).withColumn("last", F.max("node").over(line))
-    buckets = stored(buckets.filter("first < last").select("sig", "node", "first"), "buckets")
+    buckets = buckets.withColumn("members", F.count("*").over(line)).filter("first < last")
+    buckets = stored(buckets.select("sig", "node", "first", "members"), "buckets")
     # First each node with the smallest it meets; most components come together by that.
     first = buckets.groupBy(F.col("node").alias("b")).agg(F.min("first").alias("a")).filter("a < b").select("a", "b")
     links = stored(verified(first, nodes, docs, words), "links")
     labels = components(links)
     # Then all pairs of nodes that share a row and are not yet known to be connected.
-    labels = broadcast_if_small(labels, BROADCAST_ROWS)
-    ahead = labels.select(F.col("node").alias("first"), F.col("label").alias("other"))
-    left = buckets.join(labels, "node", "left").join(ahead, "first", "left")
-    left = left.select("sig", "node", F.coalesce("label", "node").alias("label"), F.coalesce("other", "first").alias("other"))
-    # A row whose nodes are all connected to its first one has nothing left to compare.
-    left = left.withColumn("open", F.max(F.col("label") != F.col("other")).over(line)).filter("open")
-    left = stored(left.select("sig", "node", "label"), "open")
-    a, b = left.alias("a"), left.alias("b")
+    named = buckets.join(broadcast_if_small(labels, BROADCAST_ROWS), "node", "left")
+    named = named.select("sig", "node", "members", F.coalesce("label", "node").alias("label"))
+    few = named.filter(F.col("members") <= SMALL)
+    a, b = few.alias("a"), few.alias("b")
     apart = (F.col("a.sig") == F.col("b.sig")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label"))
-    rest = a.join(b, apart).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
-    rest = rest.join(first, ["a", "b"], "left_anti")
+    rest = a.join(b, apart).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).unionByName(crowded(named.filter(F.col("members") > SMALL), nodes))
+    rest = rest.distinct().join(first, ["a", "b"], "left_anti")
     more = stored(verified(rest, nodes, docs, words), "links")
     labels = components(links.unionByName(more))
 
