@@ -43,6 +43,8 @@ SKETCH, SHORT = 1 << 16, 512
 #: Nodes of a bucket whose pairs are plainly joined; of a block of a larger bucket; pairs of
 #: those that are compared at once.
 SMALL, NODES, PAIRS = 4, 4096, 200_000
+#: Orders of nodes by which buckets choose the one that others are first compared with.
+ORDERS = 8
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -258,9 +260,10 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int = W
     return both.mapInArrow(compared, "a long, b long")
 
 
-def crowded(rows: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b) of nodes that share a row, are not known to be connected (``label``) and
-    may be linked by their sizes and short sketches. ``members`` counts the nodes of a row.
+def crowded(rows: DataFrame, nodes: DataFrame, best: bool = False) -> DataFrame:
+    """Pairs (x, y) of nodes that share a row, are not known to be connected (``label``) and
+    may be linked by their sizes and short sketches, x the smaller one. With ``best``, only
+    the nearest y of each ``label`` for each x. ``members`` counts the nodes of a row.
     Those of one row come together in a task, which compares them and gives on only the
     pairs that pass. A row of very many nodes is cut into blocks, and every two of these
     come together, so that a task never holds more than two blocks."""
@@ -313,12 +316,24 @@ def crowded(rows: DataFrame, nodes: DataFrame) -> DataFrame:
             x, y = np.concatenate(left), np.concatenate(right)
             possible = (label[x] != label[y]) & (4 * np.minimum(size[x], size[y]) >= 3 * np.maximum(size[x], size[y]))
             x, y = x[possible], y[possible]
-            near = np.bitwise_count(short[x] ^ short[y]).sum(axis=1, dtype=np.int64) <= (size[x] + size[y]) // 7
-            both = np.sort(np.stack([node[x[near]], node[y[near]]]), axis=0)
-            both = np.unique(both, axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(both[0]), pa.array(both[1])], ["a", "b"])
+            far = np.bitwise_count(short[x] ^ short[y]).sum(axis=1, dtype=np.int64)
+            near = far <= (size[x] + size[y]) // 7
+            x, y, far = x[near], y[near], far[near] / (size[x[near]] + size[y[near]])
+            if best:
+                x, y, far = np.append(x, y), np.append(y, x), np.append(far, far)
+                order = np.lexsort((far, label[y], x))
+                x, y, far = x[order], y[order], far[order]
+                kept = np.append(True, (x[1:] != x[:-1]) | (label[y[1:]] != label[y[:-1]]))[: len(x)]
+            else:
+                turned = node[x] > node[y]
+                x, y = np.where(turned, y, x), np.where(turned, x, y)
+                kept = slice(None)
+            x, y, far = x[kept], y[kept], far[kept]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(node[x]), pa.array(node[y]), pa.array(label[y]), pa.array(far, pa.float64())], ["x", "y", "label", "distance"]
+            )
 
-    return carried.mapInArrow(pairs, "a long, b long")
+    return carried.mapInArrow(pairs, "x long, y long, label long, distance double")
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -339,21 +354,35 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     line = Window.partitionBy("sig")
     buckets = indexed(docs, common, words).withColumn("first", F.min("node").over(line)).withColumn("last", F.max("node").over(line))
     buckets = buckets.withColumn("members", F.count("*").over(line)).filter("first < last")
-    buckets = stored(buckets.select("sig", "node", "first", "members"), "buckets")
-    # First each node with the smallest it meets; most components come together by that.
-    first = buckets.groupBy(F.col("node").alias("b")).agg(F.min("first").alias("a")).filter("a < b").select("a", "b")
-    links = stored(verified(first, nodes, docs, words), "links")
-    labels = components(links)
-    # Then all pairs of nodes that share a row and are not yet known to be connected.
-    named = buckets.join(broadcast_if_small(labels, BROADCAST_ROWS), "node", "left")
-    named = named.select("sig", "node", "members", F.coalesce("label", "node").alias("label"))
-    few = named.filter(F.col("members") <= SMALL)
+    turn = F.pmod("sig", F.lit(ORDERS))
+    head = F.min(F.struct(F.xxhash64("node", turn).alias("place"), "node")).over(line)
+    buckets = stored(buckets.withColumn("head", head).select("sig", "node", "head", "members"), "buckets")
+    # First each node with the heads of its buckets, one for each order: linear in the nodes.
+    heads = buckets.groupBy("node", turn.alias("turn")).agg(F.min("head")["node"].alias("head")).filter("node <> head")
+    tried = heads.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+    tried = stored(tried, "tried")
+    links = stored(verified(tried, nodes, docs, words), "links")
+
+    def named(links: DataFrame) -> DataFrame:
+        labels = broadcast_if_small(components(links), BROADCAST_ROWS)
+        rows = buckets.select("sig", "node", "members").join(labels, "node", "left")
+        return rows.withColumn("label", F.coalesce("label", "node"))
+
+    # Then each node with the nearest one, by sketches, of each other component that it meets.
+    best = crowded(named(links).filter(F.col("members") > SMALL), nodes, best=True)
+    best = best.groupBy("x", "label").agg(F.min(F.struct("distance", "y"))["y"].alias("y"))
+    best = best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    best = stored(best.join(tried, ["a", "b"], "left_anti"), "best")
+    links = stored(links.unionByName(verified(best, nodes, docs, words)), "links")
+    # Then all pairs of nodes that share a row and are still not known to be connected.
+    rows_left = named(links)
+    few = rows_left.filter(F.col("members") <= SMALL)
     a, b = few.alias("a"), few.alias("b")
     apart = (F.col("a.sig") == F.col("b.sig")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label"))
-    rest = a.join(b, apart).select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).unionByName(crowded(named.filter(F.col("members") > SMALL), nodes))
-    rest = rest.distinct().join(first, ["a", "b"], "left_anti")
-    more = stored(verified(rest, nodes, docs, words), "links")
-    labels = components(links.unionByName(more))
+    rest = a.join(b, apart).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
+    rest = rest.unionByName(crowded(rows_left.filter(F.col("members") > SMALL), nodes).select(F.col("x").alias("a"), F.col("y").alias("b")))
+    rest = rest.distinct().join(tried.unionByName(best), ["a", "b"], "left_anti")
+    labels = components(links.unionByName(verified(rest, nodes, docs, words)))
 
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component"))
