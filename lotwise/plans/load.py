@@ -7,12 +7,14 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotwise.schemas import LEDGER, LEDGER_KEYS, MONTH, OBSERVATION_COLUMNS, RATE_KEYS, RATES
+from lotwise.schemas import (
+    LEDGER, LEDGER_KEYS, MERGED_RUNS, MONTH, OBSERVATION_COLUMNS, RATE_KEYS, RATES, STORED_OBSERVATIONS,
+)
 from lotwise.sinks.tables import append_observations, compact_stored, with_month, write_clustered
 from lotwise.sources.offer_pages import parse_pages, split_parsed
 from lotwise.sources.rate_payloads import parse_rates
-from lotwise.sources.tables import read_folders, read_ledger, read_observations, run_folders
-from lotwise.versions import current_path
+from lotwise.sources.tables import month_folders, read_folders, read_ledger, read_observations, run_folders
+from lotwise.versions import add_part, current_path, delete_folders, parts
 
 
 def ingest_pages(
@@ -85,6 +87,29 @@ def load_runs(rows: DataFrame, warehouse: str) -> None:
     )
 
 
+def merge_months(spark: SparkSession, warehouse: str, before: str) -> int:
+    """Bring the run folders of months before ``before`` (yyyyMM) together, by month and
+    ordered by offer and time across runs; gives the number of folders merged. A run that
+    comes later for such a month waits in a folder of its own for the next merge. Folders
+    are deleted one merge later, so that readers that have begun can end; until then, and
+    after a crash at any point, each row is read once."""
+    merged = parts(spark, f"{warehouse}/_merged")
+    gone = {tuple(r) for r in spark.read.schema(MERGED_RUNS).parquet(*(f"{p}/runs" for p in merged)).collect()} if merged else set()
+    found = month_folders(spark, warehouse)
+    closed = {key: folder for key, folder in found.items() if key[0] < before and key not in gone}
+    if not closed:
+        return 0
+    stored = spark.read.schema(STORED_OBSERVATIONS).option("basePath", warehouse).parquet(*closed.values())
+
+    def write(folder: str) -> None:
+        write_clustered(stored.select(*OBSERVATION_COLUMNS, MONTH), f"{folder}/rows", [MONTH], ["source_offer_id", "observed_at"])
+        spark.createDataFrame(list(closed), MERGED_RUNS).coalesce(1).write.parquet(f"{folder}/runs")
+
+    add_part(spark, f"{warehouse}/_merged", write)
+    delete_folders(spark, (folder for key, folder in found.items() if key in gone))
+    return len(closed)
+
+
 def load_pending(spark: SparkSession, lake: str, warehouse: str, ledger: str, now: dt.datetime) -> int:
     """Load every run of the lake that is not in the ledger; gives the number of rows.
 

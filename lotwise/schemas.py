@@ -57,6 +57,10 @@ STORED_OBSERVATIONS = T.StructType(
     [*OBSERVATIONS.fields, T.StructField(MONTH, T.StringType(), True)]
 )
 
+MERGED_RUNS = T.StructType(
+    [T.StructField(MONTH, T.StringType(), False), T.StructField("scrape_run_id", T.StringType(), False)]
+)
+
 # Counts are 32-bit integers in the source's query language; a larger number reads as NULL.
 LISTING = T.StructType(
     [

@@ -11,9 +11,9 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lotwise.schemas import LEDGER, MONTH, OBSERVATION_COLUMNS, OBSERVATIONS, RATES, STORED_OBSERVATIONS
+from lotwise.schemas import LEDGER, MERGED_RUNS, MONTH, OBSERVATION_COLUMNS, OBSERVATIONS, RATES, STORED_OBSERVATIONS
 from lotwise.session import require_utc
-from lotwise.versions import current_path, read_current
+from lotwise.versions import current_path, parts, read_current
 
 
 def read_observations(
@@ -24,10 +24,10 @@ def read_observations(
 ) -> DataFrame:
     """Observations, optionally with ``since <= observed_at < until`` (UTC). The bounds are
     also put on the month directories, which a filter on ``observed_at`` alone would not
-    prune. The table must then be stored by month."""
+    prune. The table must then be stored by month. Months that have been merged are read
+    from there, and their run folders left out."""
     require_utc(spark)
-    schema = OBSERVATIONS if since is None and until is None else STORED_OBSERVATIONS
-    stored = spark.read.schema(schema).parquet(path)
+    stored = _stored(spark, path, since is not None or until is not None)
     if since is not None:
         stored = stored.filter((F.col(MONTH) >= f"{since:%Y%m}") & (F.col("observed_at") >= F.lit(since)))
     if until is not None:
@@ -35,11 +35,35 @@ def read_observations(
     return stored.select(*OBSERVATION_COLUMNS)
 
 
+def _stored(spark: SparkSession, path: str, by_month: bool) -> DataFrame:
+    """All rows of a stored table, with the month where it is stored by month."""
+    merged = parts(spark, f"{path}/_merged")
+    if not merged:
+        return spark.read.schema(STORED_OBSERVATIONS if by_month else OBSERVATIONS).parquet(path)
+    # One row for each month and run that has been merged.
+    runs = spark.read.schema(MERGED_RUNS).parquet(*(f"{p}/runs" for p in merged)).collect()
+    own = F.concat_ws("/", MONTH, "scrape_run_id")
+    stored = spark.read.schema(STORED_OBSERVATIONS).parquet(path).filter(~own.isin([f"{r[MONTH]}/{r.scrape_run_id}" for r in runs]))
+    for part in merged:
+        stored = stored.unionByName(spark.read.schema(STORED_OBSERVATIONS).parquet(f"{part}/rows"))
+    return stored
+
+
+def month_folders(spark: SparkSession, path: str) -> dict[tuple[str, str], str]:
+    """Folder of each month and run of a table stored by both, merged or not."""
+    found = {}
+    for file in spark.read.schema(STORED_OBSERVATIONS).parquet(path).inputFiles():
+        folder = re.match(rf"(.*/{MONTH}=([^/]*)/scrape_run_id=([^/]*))/", unquote(file))
+        if folder:
+            found[folder[2], unquote(folder[3])] = folder[1]
+    return found
+
+
 def read_newest(spark: SparkSession, path: str, rows: int) -> DataFrame:
     """Observations of the newest months that together hold at least ``rows`` rows; for top
     lists by time, which need nothing older. Rows per month come from the file footers."""
     require_utc(spark)
-    stored = spark.read.schema(STORED_OBSERVATIONS).parquet(path)
+    stored = _stored(spark, path, by_month=True)
     months = stored.groupBy(MONTH).agg(F.count("*").alias("stored"))
     # One row per month, so one window over all of them is enough.
     held = F.sum("stored").over(Window.orderBy(F.desc(MONTH)))

@@ -9,6 +9,7 @@ one writer at a time.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -60,6 +61,25 @@ def replace_table(df: DataFrame, path: str) -> None:
         _delete(spark, f"{path}/_versions/{old}")
 
 
+def parts(spark: SparkSession, path: str) -> list[str]:
+    """Folders of a table that grows by parts, in their order."""
+    log = read_or_empty(spark, f"{path}/_log", LOG).orderBy("number").collect()
+    return [f"{path}/_versions/{r['version']}" for r in log]
+
+
+def add_part(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Add what ``write`` writes into a folder; it belongs to the table once that is done."""
+    number = len(parts(spark, path)) + 1
+    version = f"v{number}-{uuid.uuid4().hex}"
+    write(f"{path}/_versions/{version}")
+    spark.createDataFrame([(number, version)], LOG).coalesce(1).write.mode("append").parquet(f"{path}/_log")
+
+
+def delete_folders(spark: SparkSession, folders: Iterable[str]) -> None:
+    for folder in folders:
+        _delete(spark, folder)
+
+
 def _delete(spark: SparkSession, folder: str) -> None:
     place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)

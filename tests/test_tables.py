@@ -222,6 +222,49 @@ def test_fact_files_hold_ranges_of_its_key(spark, tmp_path, obs):
     assert len(spans) > 4 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
 
 
+def test_merged_months(spark, tmp_path, obs, monkeypatch):
+    path = str(tmp_path / "raw")
+    # Offers of a month in two runs each, and one month that stays open.
+    split = F.concat("scrape_run_id", F.when(F.col("source_offer_id") % 2 == 0, "-a").otherwise("-b"))
+    rows = typed(obs.filter("observed_at < '1995-06-01'").withColumn("scrape_run_id", split))
+    load.load_runs(rows, path)
+    folders = sources.month_folders(spark, path)
+    months = {month for month, _ in folders}
+    assert load.merge_months(spark, path, max(months)) == len([f for f in folders if f[0] < max(months)]) > 0
+    assert same(sources.read_observations(spark, path), rows)
+    since, until = at("1995-03-10 00:00:00"), at("1995-04-20 00:00:00")
+    bounded = sources.read_observations(spark, path, since, until)
+    assert same(bounded, rows.filter((F.col("observed_at") >= F.lit(since)) & (F.col("observed_at") < F.lit(until))))
+    assert load.merge_months(spark, path, max(months)) == 0
+    (part,) = versions.parts(spark, f"{path}/_merged")
+    for month in months - {max(months)}:
+        spans = []
+        for file in glob.glob(f"{part}/rows/observed_month={month}/*.parquet"):
+            keys = [(r.source_offer_id, r.observed_at) for r in spark.read.parquet(file).select("source_offer_id", "observed_at").collect()]
+            assert keys == sorted(keys)
+            spans.append((keys[0], keys[-1]))
+        spans.sort()
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))
+    # A late run of a merged month, a crash before its merge counts, and the merge itself.
+    late = typed(rows.filter("observed_at < '1995-03-01'").withColumn("scrape_run_id", F.lit("late:1")))
+    load.load_runs(late, path)
+    both = rows.unionByName(late)
+
+    def crash(*given):
+        sinks.write_clustered(*given)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(load, "write_clustered", crash)
+        with pytest.raises(RuntimeError):
+            load.merge_months(spark, path, max(months))
+    assert same(sources.read_observations(spark, path), both)
+    assert load.merge_months(spark, path, max(months)) > 0
+    assert same(sources.read_observations(spark, path), both)
+    assert {month for month, run in sources.month_folders(spark, path) if run != "late:1"} == {max(months)}
+    assert same(alerts.latest_observations(sources.read_newest(spark, path, alerts.TOP_OFFERS)), alerts.latest_observations(both))
+
+
 def test_ingest_pages(spark, tmp_path, models):
     pages = inputs.offer_pages(spark, models.sf_dir).drop("scrape_run_id")
     lake, rejects = str(tmp_path / "lake"), str(tmp_path / "rejects")
