@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import sys
 import tempfile
 import uuid
@@ -29,10 +31,16 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder in ``spark.checkpoint.dir``; a temporary one where it is unset (tests)."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = per_worker(("shared",), lambda: tempfile.mkdtemp(prefix="lotwise-"))
+        root = per_worker(("shared",), _temporary)
     return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 
+def _temporary() -> str:
+    folder = tempfile.mkdtemp(prefix="lotwise-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once and read it from there: cuts lineage, and a lost executor loses
     nothing of it. The files stay in the shared folder under the application's id."""
