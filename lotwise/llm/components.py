@@ -30,4 +30,19 @@ def components(links: DataFrame) -> DataFrame:
         labels = jumped.select("node", "label")
 
 
+def extended(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, label) after more ``links`` (a, b): only what these connect anew is
+    worked on, component by component."""
+    known = labels.select("node", "label")
+    ends = links.select(F.col("a").alias("node")).unionByName(links.select(F.col("b").alias("node"))).distinct()
+    fresh = ends.join(known, "node", "left_anti").select("node", F.col("node").alias("label"))
+    known = stored(known.unionByName(fresh), "known")
+    a = known.select(F.col("node").alias("a"), F.col("label").alias("label_a"))
+    b = known.select(F.col("node").alias("b"), F.col("label").alias("label_b"))
+    between = links.join(a, "a").join(b, "b").filter("label_a <> label_b")
+    joined = components(between.select(F.col("label_a").alias("a"), F.col("label_b").alias("b")).distinct())
+    joined = joined.select(F.col("node").alias("label"), F.col("label").alias("root"))
+    return stored(known.join(joined, "label", "left").select("node", F.coalesce("root", "label").alias("label")), "labels")
+
+
 by_value(__name__)

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lotwise.llm.common import broadcast_if_small, by_value, stored, table
-from lotwise.llm.components import components
+from lotwise.llm.components import components, extended
 
 WORDS = 5
 #: An element is common if more than this share of the sets hold it.
@@ -361,28 +361,27 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     heads = buckets.groupBy("node", turn.alias("turn")).agg(F.min("head")["node"].alias("head")).filter("node <> head")
     tried = heads.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
     tried = stored(tried, "tried")
-    links = stored(verified(tried, nodes, docs, words), "links")
+    labels = components(verified(tried, nodes, docs, words))
 
-    def named(links: DataFrame) -> DataFrame:
-        labels = broadcast_if_small(components(links), BROADCAST_ROWS)
-        rows = buckets.select("sig", "node", "members").join(labels, "node", "left")
+    def named(labels: DataFrame) -> DataFrame:
+        rows = buckets.select("sig", "node", "members").join(broadcast_if_small(labels, BROADCAST_ROWS), "node", "left")
         return rows.withColumn("label", F.coalesce("label", "node"))
 
     # Then each node with the nearest one, by sketches, of each other component that it meets.
-    best = crowded(named(links).filter(F.col("members") > SMALL), nodes, best=True)
+    best = crowded(named(labels).filter(F.col("members") > SMALL), nodes, best=True)
     best = best.groupBy("x", "label").agg(F.min(F.struct("distance", "y"))["y"].alias("y"))
     best = best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     best = stored(best.join(tried, ["a", "b"], "left_anti"), "best")
-    links = stored(links.unionByName(verified(best, nodes, docs, words)), "links")
+    labels = extended(labels, stored(verified(best, nodes, docs, words), "links"))
     # Then all pairs of nodes that share a row and are still not known to be connected.
-    rows_left = named(links)
+    rows_left = named(labels)
     few = rows_left.filter(F.col("members") <= SMALL)
     a, b = few.alias("a"), few.alias("b")
     apart = (F.col("a.sig") == F.col("b.sig")) & (F.col("a.node") < F.col("b.node")) & (F.col("a.label") != F.col("b.label"))
     rest = a.join(b, apart).select(F.col("a.node").alias("a"), F.col("b.node").alias("b"))
     rest = rest.unionByName(crowded(rows_left.filter(F.col("members") > SMALL), nodes).select(F.col("x").alias("a"), F.col("y").alias("b")))
     rest = rest.distinct().join(tried.unionByName(best), ["a", "b"], "left_anti")
-    labels = components(links.unionByName(verified(rest, nodes, docs, words)))
+    labels = extended(labels, stored(verified(rest, nodes, docs, words), "links"))
 
     named = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = named.groupBy("label").agg(F.min("doc_id").alias("component"))

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotwise.llm import hilbert, neighbours, ngram_join, packing, sharding, topk, toxicity, warc
-from lotwise.llm.components import components
+from lotwise.llm.components import components, extended
 from tests.llm.conftest import docs_of, odd_texts
 
 SF = "/root/testdata/sf0.01"
@@ -242,6 +242,11 @@ def test_components(spark):
     found = {r.node: r.label for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     linked = {n for a, b in edges if a != b for n in (a, b)}
     assert found == {n: find(n) for n in linked}
+    first, later = ([e for i, e in enumerate(edges) if (i % 3 == 0) == turn and e[0] != e[1]] for turn in (True, False))
+    rows = lambda e: spark.createDataFrame(e, "a long, b long")
+    grown = extended(components(rows(first)), rows(later))
+    assert {r.node: r.label for r in grown.collect()} == found
+    assert {r.node: r.label for r in extended(grown, rows([])).collect()} == found
 
 
 def test_pipeline_stages(spark, odd, none):
