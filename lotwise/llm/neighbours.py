@@ -1,9 +1,10 @@
 """Operator 3: approximate nearest neighbours by shifted Hilbert curves.
 
 Each curve orders the vectors by the Hilbert index of a random projection of their
-directions, shifted by a random offset. Its keys are cut into ranges of equally many rows;
-a query looks at its own range and at those on either side, in every curve. What it finds
-is ranked again by the exact cosine and merged.
+directions, shifted by a random offset. Its keys are cut into ranges of equally many rows,
+fewer where many rows have one key; a query looks at its own range and at those on either
+side, in every curve. What it finds is ranked again by the exact cosine and merged. Vectors
+of a length that too few have for such ranges are all one range.
 """
 
 from __future__ import annotations
@@ -47,13 +48,26 @@ def curve_keys(vectors: np.ndarray, curves: int = CURVES, dimensions: int = DIME
     return np.stack(keys, axis=1)
 
 
+def ranges_of(ends: np.ndarray, least: int, n: int, k: int, ranges: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ends of the ranges of ``n`` keys, and into how many parts each range is cut.
+
+    ``ends`` are the keys at every 1/``ranges`` of the rows. Every range begins with a key that
+    occurs, so none is empty. With more than k rows to 1/``ranges`` a range and those beside it
+    hold at least k + 1 rows; fewer rows in all are left in one range."""
+    if n <= ranges * k:
+        return np.zeros(0, np.int64), np.array([max(1, -(-n // BLOCK))])
+    at, repeats = np.unique(ends[ends > least], return_counts=True)
+    shares = np.concatenate([[len(ends) - repeats.sum() + 1], repeats])
+    return at, np.maximum(1, -(-n * shares // (ranges * BLOCK)))
+
+
 def nearest(
     vectors: DataFrame, query: Column, k: int = 5, curves: int = CURVES, ranges: int = RANGES,
     dimensions: int = DIMENSIONS, bits: int = BITS, seed: int = SEED,
 ) -> DataFrame:
     """query_id, rank, vec_id and score (cosine in double precision) of the k nearest found
     for each id that ``query`` chooses; a query is no candidate of its own, and one with
-    fewer candidates gets all that its ranges hold. Ties go to the smaller id.
+    fewer candidates gets all of them. Ties go to the smaller id.
 
     Every row is indexed. Equal vectors have equal keys, and of each only the k + 1 of the
     smallest ids can be among anyone's k nearest, so the others leave the index. Rows that
@@ -84,9 +98,9 @@ def nearest(
     # One row a number of components and curve: the ends of its ranges.
     narrow = keyed_rows.filter(indexed).select("_size", F.posexplode("_keys").alias("_curve", "_key"))
     ends = {
-        (r["_size"], r["_curve"]): (np.array(r["ends"]), r["n"])
+        (r["_size"], r["_curve"]): ranges_of(np.array(r["ends"], np.int64), r["least"], r["n"], k, ranges)
         for r in narrow.groupBy("_size", "_curve").agg(
-            F.percentile_approx("_key", cuts, 10_000).alias("ends"), F.count("*").alias("n")
+            F.percentile_approx("_key", cuts, 10_000).alias("ends"), F.min("_key").alias("least"), F.count("*").alias("n")
         ).collect()
     }
     asking = rows.filter("_query").count()
@@ -106,19 +120,21 @@ def nearest(
                 places = np.flatnonzero(sizes == size)
                 key = matrix_of_longs(keys.take(pa.array(places)))
                 for curve in range(curves):
-                    at, n = ends.get((int(size), curve), (np.zeros(0), 0))
-                    parts = max(1, -(-n // (ranges * BLOCK)))
+                    at, parts = ends[int(size), curve]
+                    if curve and not len(ends[int(size), 0][0]):
+                        continue  # One range in the first curve: that compares all with all.
                     slot = np.searchsorted(at, key[:, curve], side="right")
                     own = np.flatnonzero(inside[places])
-                    part = ids[places] % parts
+                    part = ids[places] % parts[slot]
                     for chunk in range(chunks):
                         yield sent(batch, places[own], size, curve, slot[own], part[own], chunk, False)
                     own = np.flatnonzero(asks[places])
                     for step in (-1, 0, 1):
                         there = own[(slot[own] + step >= 0) & (slot[own] + step <= len(at))]
-                        for p in range(parts):
-                            chunk = (ids[places[there]] // 7) % chunks
-                            yield sent(batch, places[there], size, curve, slot[there] + step, p, chunk, True)
+                        for p in range(parts.max()):
+                            cut = there[parts[slot[there] + step] > p]
+                            chunk = (ids[places[cut]] // 7) % chunks
+                            yield sent(batch, places[cut], size, curve, slot[cut] + step, p, chunk, True)
 
     def matrix_of_longs(column):
         return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)

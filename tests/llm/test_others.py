@@ -87,6 +87,43 @@ def test_neighbours_of_odd_vectors(spark, monkeypatch, block):
     assert neighbours.nearest(vectors(spark, []), F.col("vec_id") % 50 == 0).collect() == []
 
 
+def test_neighbours_of_few_vectors_and_of_one_key(spark):
+    """By default: 1 to 30 vectors of a length of their own beside 400 of another, and 300
+    moved copies of one vector, which have its key, beside 60 others. All are queries."""
+    rng = np.random.default_rng(8)
+    groups = {n + 1: rng.normal(size=(n, n + 1)) for n in range(1, 31)} | {40: rng.normal(size=(400, 40))}
+    one, others = rng.normal(size=50), rng.normal(size=(60, 50))
+    moved = one * rng.uniform(0.5, 2, (300, 1)) + rng.normal(size=(300, 50)) * 1e-5
+    groups[50] = np.concatenate([others[:30], moved, others[30:]])
+    rows = [(size * 1000 + i, v.tolist()) for size, group in groups.items() for i, v in enumerate(group)]
+    found = defaultdict(dict)
+    for r in neighbours.nearest(vectors(spark, rows), F.lit(True)).collect():
+        found[r.query_id][r["rank"]] = (r.vec_id, r.score)
+    for size, group in groups.items():
+        unit = group / np.linalg.norm(group, axis=1, keepdims=True)
+        for i in range(len(group)):
+            scores = sorted((-round(float(unit[i] @ v), 9), size * 1000 + j) for j, v in enumerate(unit) if j != i)[:5]
+            got = found.pop(size * 1000 + i, {})
+            assert sorted(got) == list(range(1, len(scores) + 1)), (size, i)
+            if size <= 31:
+                assert [(-round(got[n][1], 9), got[n][0]) for n in sorted(got)] == scores
+            if size == 50 and 30 <= i < 330:
+                assert all(50_030 <= j < 50_330 for j, _ in got.values())
+    assert not found
+
+
+@pytest.mark.parametrize("keys", [[3] * 500, list(range(200)), [1, 2, 3] * 90, [0] * 100 + [5] * 900 + list(range(6, 300)), list(range(100))])
+def test_ranges_are_occupied(monkeypatch, keys):
+    monkeypatch.setattr(neighbours, "BLOCK", 50)
+    keys = np.sort(keys)
+    ends = keys[[-(-len(keys) * i // 24) - 1 for i in range(1, 24)]]
+    at, parts = neighbours.ranges_of(ends, keys[0], len(keys), 5, 24)
+    sizes = np.bincount(np.searchsorted(at, keys, side="right"), minlength=len(at) + 1)
+    assert len(parts) == len(sizes) and (sizes > 0).all() and (sizes <= 2 * 50 * parts).all()
+    beside = np.convolve(sizes, [1, 1, 1], "same") if len(sizes) > 1 else sizes
+    assert (beside >= min(len(keys), 6)).all()
+
+
 def test_neighbours_are_mostly_found(spark):
     given = spark.read.parquet(f"{SF}/embeddings.parquet").orderBy("vec_id").collect()
     ids, all_vectors = np.array([r.vec_id for r in given]), np.array([r.embedding for r in given], float)
