@@ -243,7 +243,15 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int = W
 
     # Rows of one id may be repeated or differ: the node says which set it is, and a link
     # that is found twice is one.
-    sets = docs.join(ids, "doc_id", "left_semi").select("text").mapInArrow(batches, "node long, elements binary")
+    kinds = "node long, elements binary"
+    sets = docs.join(ids, "doc_id", "left_semi").select("text").mapInArrow(batches, kinds)
+    # Sets that only rows without id hold are chosen by node, once each.
+    sides = [possible.filter(f"doc_{n} IS NULL").select(F.col(n).alias("node")) for n in "ab"]
+    unnamed = sides[0].unionByName(sides[1]).distinct()
+    if not unnamed.isEmpty():
+        rest = docs.filter("doc_id IS NULL").select("text").mapInArrow(batches, kinds)
+        rest = rest.join(broadcast_if_small(unnamed, BROADCAST_ROWS), "node", "left_semi")
+        sets = sets.unionByName(rest.dropDuplicates(["node"]))
     sets = stored(sets, "sets")
     both = possible.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("elements").alias("left")), "a")
     both = both.join(sets.select(F.col("node").alias("b"), F.col("elements").alias("right")), "b").select("a", "b", "left", "right")

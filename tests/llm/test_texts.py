@@ -226,6 +226,22 @@ def test_near_duplicates_of_odd_texts(odd, none):
     assert ngram_join.near_duplicates(none).collect() == []
 
 
+@pytest.mark.parametrize("bound", [ngram_join.BROADCAST_ROWS, 0])
+def test_near_duplicates_without_id(spark, monkeypatch, bound):
+    """Near copies without id, also as bridges between ids and in copies of their own."""
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", bound)
+
+    def changed(text, *places):
+        return " ".join("changed" + str(p) if p in places else w for p, w in enumerate(text.split(" ")))
+
+    base, bridge, alone = words(40, 120), words(41, 200), words(42, 120)
+    rows = [(5, base), (None, changed(base, 60)), (None, changed(base, 60)), (30, changed(bridge, 10, 30, 50, 70)), (None, bridge),
+            (31, changed(bridge, 110, 130, 150, 170)), (None, alone), (None, changed(alone, 60)), (None, words(43, 50))]
+    expected = plain_near(rows)
+    assert {(i, least) for i, _, least in expected} == {(5, 5), (None, 5), (30, 30), (None, 30), (31, 30), (None, None)}
+    assert Counter(map(tuple, ngram_join.near_duplicates(docs_of(spark, rows)).collect())) == expected
+
+
 @pytest.mark.parametrize("share", [0.0005, 0.2])
 def test_near_duplicates_at_the_threshold(spark, monkeypatch, share):
     """Chains, small sets, sets of many sizes; with and without common elements."""
