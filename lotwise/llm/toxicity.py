@@ -10,6 +10,7 @@ dictionaries have not seen, is the calibrated threshold.
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -142,9 +143,10 @@ def held_out(doc_id: str = "doc_id") -> Column:
 
 def fit_on(docs: DataFrame, labels: DataFrame) -> Model:
     """``fit`` on a bounded sample of labelled documents that are not held out: at most
-    ``MAX_TOXIC`` and ``MAX_ORDINARY`` documents of the smallest hashes, as many of them as
-    ``MAX_BYTES`` allow. Null labels and ids are left out; of labels that disagree the toxic
-    one counts."""
+    ``MAX_TOXIC`` and ``MAX_ORDINARY`` documents of the smallest hashes. Beyond ``MAX_BYTES``
+    the longest texts of the class that holds more leave it, so that the other class keeps
+    all that half of the bound has room for. Null labels and ids are left out; of labels that
+    disagree the toxic one counts."""
     known = labels.filter(F.col("toxic").isin(0, 1) & ~held_out()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     chosen = None
     for label, bound in ((1, MAX_TOXIC), (0, MAX_ORDINARY)):
@@ -152,14 +154,20 @@ def fit_on(docs: DataFrame, labels: DataFrame) -> Model:
         chosen = part if chosen is None else chosen.unionByName(part)
     # At most MAX_TOXIC + MAX_ORDINARY ids.
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text")
-    texts, toxic, size = [], [], 0
-    for row in sample.limit(MAX_TOXIC + MAX_ORDINARY).toLocalIterator():
-        size += len(row["text"] or "")
-        if size > MAX_BYTES:
-            break
-        texts.append(row["text"])
-        toxic.append(row["toxic"])
-    return fit(texts, toxic)
+    # A text that is longer than the bound alone never comes to the driver.
+    sample = sample.filter(F.coalesce(F.length("text"), F.lit(0)) <= MAX_BYTES)
+    kept, held, longest = {}, {0: 0, 1: 0}, {0: [], 1: []}
+    for place, row in enumerate(sample.limit(MAX_TOXIC + MAX_ORDINARY).toLocalIterator()):
+        size, label = len(row["text"] or ""), int(row["toxic"])
+        kept[place] = (row["text"], label)
+        held[label] += size
+        heapq.heappush(longest[label], (-size, place))
+        while sum(held.values()) > MAX_BYTES:
+            more = max(held, key=held.get)
+            size, out = heapq.heappop(longest[more])
+            held[more] += size
+            del kept[out]
+    return fit([t for t, _ in kept.values()], [y for _, y in kept.values()])
 
 
 def scored(docs: DataFrame, model: Model) -> DataFrame:

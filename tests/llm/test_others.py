@@ -245,6 +245,21 @@ def test_scores_of_odd_texts(spark, odd, none):
     assert toxicity.scored(odd, nothing).filter("predicted = 1").count() == 0
 
 
+@pytest.mark.parametrize("size", [0, 50_000, 19_000])
+def test_one_long_text_leaves_the_sample_whole(spark, monkeypatch, size):
+    """The first text in the order of hashes is longer than the bound, or nearly so."""
+    monkeypatch.setattr(toxicity, "MAX_BYTES", 20_000)
+    samples = []
+    monkeypatch.setattr(toxicity, "fit", lambda texts, toxic: samples.append((texts, toxic)))
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(200)], "doc_id long, toxic int").filter(~toxicity.held_out())
+    order = [(r.doc_id, r.toxic) for r in labels.orderBy(F.xxhash64("doc_id")).collect()]
+    docs = {i: f"{i} " + "x" * 80 for i, _ in order}
+    docs[order[0][0]] += "x" * size
+    toxicity.fit_on(docs_of(spark, list(docs.items())), labels)
+    expected = [(docs[i], y) for i, y in order[1 if size else 0 :]]
+    assert list(zip(*samples[0])) == expected and {y for _, y in expected} == {0, 1}
+
+
 def test_held_out_labels_do_not_matter(spark):
     docs, labels = (spark.read.parquet(f"{SF}/{n}.parquet") for n in ("documents", "labels"))
     turned = labels.withColumn("toxic", F.when(toxicity.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
