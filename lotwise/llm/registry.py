@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lotwise.llm.bpe import op9_bpe
 from lotwise.llm.divergence import OP13_SQL, op13_divergence
 from lotwise.llm.licenses import op1_licenses, op1_sql
+from lotwise.llm.negatives import OP11_SQL, op11_negatives
 from lotwise.llm.neighbours import op3_neighbours
 from lotwise.llm.ngram_join import OP6_SQL, op6_ngram_join
 from lotwise.llm.packing import op5_packing
@@ -20,9 +21,9 @@ from lotwise.llm.warc import op10_warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    found = (op1_licenses, op2_toxicity, op3_neighbours, op4_suffix_dedup, op5_packing, op6_ngram_join, op7_topk, op8_sharding, op9_bpe, op10_warc, op13_divergence)
+    found = (op1_licenses, op2_toxicity, op3_neighbours, op4_suffix_dedup, op5_packing, op6_ngram_join, op7_topk, op8_sharding, op9_bpe, op10_warc, op11_negatives, op13_divergence)
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_licenses": op1_sql(), "op6_ngram_join": OP6_SQL, "op7_topk": OP7_SQL, "op13_divergence": OP13_SQL}
+    return {"op1_licenses": op1_sql(), "op6_ngram_join": OP6_SQL, "op7_topk": OP7_SQL, "op11_negatives": OP11_SQL, "op13_divergence": OP13_SQL}
