@@ -61,6 +61,18 @@ MERGED_RUNS = T.StructType(
     [T.StructField(MONTH, T.StringType(), False), T.StructField("scrape_run_id", T.StringType(), False)]
 )
 
+# What an ingest has added to the lake: a row for each run of a batch.
+MANIFEST = T.StructType(
+    [
+        T.StructField("scrape_run_id", T.StringType(), False),
+        T.StructField("batch", T.StringType(), False),
+        T.StructField("rows", T.LongType(), False),
+    ]
+)
+
+# A merge of months: those before ``month`` are read from merged files from then on.
+MERGES = T.StructType([T.StructField("number", T.LongType()), T.StructField(MONTH, T.StringType())])
+
 # Counts are 32-bit integers in the source's query language; a larger number reads as NULL.
 LISTING = T.StructType(
     [

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,15 +10,37 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lotwise.operators.latest import latest_per_key
-from lotwise.schemas import MONTH, OBSERVATION_COLUMNS
-from lotwise.versions import current_path, read_current, replace_table
+from lotwise.schemas import MANIFEST, MONTH, OBSERVATION_COLUMNS, OBSERVATIONS
+from lotwise.sources.tables import read_manifest
+from lotwise.versions import current_path, delete_folders, folder_names, read_current, replace_table
 
 
 def append_observations(observations: DataFrame, path: str) -> None:
-    """Append to the lake, one directory per run; made on first use. Rows are rebalanced by
-    run first, which gives files of the advisory size and splits a large run."""
+    """Append to the lake as one batch, made on first use. A batch has a folder of its own with
+    a folder for each run; rows are rebalanced by run first, which gives files of the advisory
+    size and splits a large run. The manifest is written last: a batch that it does not name, of a
+    job that died, is never read. Batches that are written at the same time do not meet."""
+    spark, batch = observations.sparkSession, uuid.uuid4().hex
     rows = observations.select(*OBSERVATION_COLUMNS).hint("rebalance", "scrape_run_id")
-    rows.write.mode("append").partitionBy("scrape_run_id").parquet(path)
+    rows.write.partitionBy("scrape_run_id").parquet(f"{path}/batch={batch}")
+    if not folder_names(spark, f"{path}/batch={batch}"):
+        return
+    # Counted in the footers: no column is read.
+    written = spark.read.schema(OBSERVATIONS).parquet(f"{path}/batch={batch}")
+    manifest_rows(written.withColumn("batch", F.lit(batch))).coalesce(1).write.parquet(f"{path}/_manifest/part={batch}")
+
+
+def manifest_rows(written: DataFrame) -> DataFrame:
+    """A manifest's rows: how many each run of each batch has."""
+    return written.groupBy("scrape_run_id", "batch").agg(F.count("*").alias("rows")).select(*MANIFEST.fieldNames())
+
+
+def compact_manifest(spark: SparkSession, path: str) -> None:
+    """Bring the manifest's parts, one for each batch, into one. Rows that two parts have, after
+    a crash, count once. Nothing may be loaded from the lake meanwhile."""
+    old = folder_names(spark, f"{path}/_manifest")
+    read_manifest(spark, path).coalesce(1).write.parquet(f"{path}/_manifest/part={uuid.uuid4().hex}")
+    delete_folders(spark, [f"{path}/_manifest/{name}" for name in old])
 
 
 def with_month(df: DataFrame, timestamp: str) -> DataFrame:

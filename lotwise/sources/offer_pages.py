@@ -38,12 +38,13 @@ TEXT_ELEMENT = (
     r"[^<]*+(?:<(?!/(?i:\1)[\s/>])[^<]*+)*+(?:</(?i:\1)[\s/>]|\z)"
 )
 # A tag that the page ends in, perhaps within a quoted value, takes all that is left: no
-# element follows it. Tried first, so that nothing else scans to the end from every such tag.
+# element follows it. Tried before what begins with a tag, so that nothing else scans to the
+# end from every such tag.
 CUT_OFF = rf"""<(?i:script|style|textarea|title)\b{ATTRIBUTES}(?:["'].*+)?\z"""
 # Up to the first data script. Comments and elements whose content is text are taken whole
 # on the way, so that a tag inside one is not mistaken for an element of the page.
 PAGE_JSON = (
-    rf"(?s)\A(?:{CUT_OFF}|(?!{DATA_SCRIPT}>)(?:[^<]++|{COMMENT}|{TEXT_ELEMENT}|<))*+{DATA_SCRIPT}"
+    rf"(?s)\A(?:[^<]++|{CUT_OFF}|(?!{DATA_SCRIPT}>)(?:{COMMENT}|{TEXT_ELEMENT}|<))*+{DATA_SCRIPT}"
     r"(>[^<]*+(?:<(?!/(?i:script)[\s/>])[^<]*+)*+)"
 )
 

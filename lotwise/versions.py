@@ -69,12 +69,24 @@ def parts(spark: SparkSession, path: str) -> list[str]:
 
 def add_part(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
     """Add what ``write`` writes into a folder; it belongs to the table once that is done."""
-    number = len(parts(spark, path)) + 1
+    number = next_part(spark, path)
     version = f"v{number}-{uuid.uuid4().hex}"
     write(f"{path}/_versions/{version}")
     spark.createDataFrame([(number, version)], LOG).coalesce(1).write.mode("append").parquet(f"{path}/_log")
 
 
+def next_part(spark: SparkSession, path: str) -> int:
+    """Number of the part that is added next, from 1."""
+    return len(parts(spark, path)) + 1
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in a folder; nothing below it is listed."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in system.listStatus(place)] if system.exists(place) else []
+
+
 def delete_folders(spark: SparkSession, folders: Iterable[str]) -> None:
     for folder in folders:
         _delete(spark, folder)

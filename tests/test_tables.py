@@ -150,7 +150,9 @@ def test_only_pending_runs_are_read(spark, tmp_path, runs):
     lake, warehouse, ledger = (str(tmp_path / n) for n in ("lake", "warehouse", "ledger"))
     sinks.append_observations(observations(spark, {"scrape_run_id": "old:1"}, {"scrape_run_id": "old 2%"}), lake)
     assert load.load_pending(spark, lake, warehouse, ledger, NOW) == 2
-    for file in glob.glob(f"{lake}/*/*.parquet"):
+    spoil = glob.glob(f"{lake}/batch=*/*/*.parquet")
+    assert len(spoil) == 2
+    for file in spoil:
         with open(file, "wb") as spoilt:
             spoilt.write(b"spoilt")
         os.remove(os.path.join(os.path.dirname(file), f".{os.path.basename(file)}.crc"))
@@ -311,3 +313,101 @@ def test_failing_check_stops_the_build(spark, tmp_path):
     with pytest.raises(quality.CheckFailed, match="stg__currency_rates: price_currency accepted_values: 1"):
         daily.build_daily(spark, raw, rate_path, out)
     assert not os.path.exists(out)
+
+
+def test_only_batches_with_pending_runs_are_listed(spark, tmp_path, monkeypatch):
+    """100,000 runs are in the manifest and all but a few in the ledger. The folders of the others
+    do not exist, and listing or reading any would fail."""
+    lake, warehouse, ledger = (str(tmp_path / n) for n in ("lake", "warehouse", "ledger"))
+    runs = spark.range(100_000).select(F.concat(F.lit("run-"), "id").alias("scrape_run_id"), (F.col("id") % 500).cast("string").alias("batch"), F.lit(7).cast("long").alias("rows"))
+    runs.coalesce(1).write.parquet(f"{lake}/_manifest/part=old")
+    runs.select("scrape_run_id", F.lit(NOW).alias("loaded_at"), F.col("rows").alias("rows_loaded")).write.parquet(ledger)
+    assert load.load_pending(spark, lake, warehouse, ledger, NOW) == 0
+    sinks.append_observations(observations(spark, {"scrape_run_id": "new:1"}, {"scrape_run_id": "run-17"}, {"scrape_run_id": "new 2%"}), lake)
+    sinks.append_observations(observations(spark, {"scrape_run_id": "new:1", "source_offer_id": "other"}), lake)
+    listed = []
+    whole = sources.live_batches
+
+    def seen(session, path, keys, folders=None):
+        listed.extend(folders or [path])
+        return whole(session, path, keys, folders)
+
+    monkeypatch.setattr(load, "live_batches", seen)
+    assert load.load_pending(spark, lake, warehouse, ledger, NOW) == 3
+    assert len(listed) == 2 and all("/batch=" in folder for folder in listed)
+    assert load.load_pending(spark, lake, warehouse, ledger, NOW) == 0
+    got = sources.read_observations(spark, warehouse)
+    assert sorted((r.scrape_run_id, r.source_offer_id) for r in got.collect()) == sorted([("new:1", observation()["source_offer_id"]), ("new:1", "other"), ("new 2%", observation()["source_offer_id"])])
+    sinks.compact_manifest(spark, lake)
+    assert len(glob.glob(f"{lake}/_manifest/*")) == 1
+    assert sources.read_manifest(spark, lake).count() == 100_004
+    assert load.load_pending(spark, lake, warehouse, ledger, NOW) == 0
+
+
+def test_batch_without_manifest_is_not_read(spark, tmp_path, monkeypatch):
+    lake = str(tmp_path / "lake")
+    sinks.append_observations(observations(spark, {"scrape_run_id": "a"}), lake)
+
+    def crash(written):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(sinks, "manifest_rows", crash)
+        with pytest.raises(RuntimeError):
+            sinks.append_observations(observations(spark, {"scrape_run_id": "b"}), lake)
+    sinks.append_observations(observations(spark), lake)
+    assert [r.scrape_run_id for r in sources.read_observations(spark, lake).collect()] == ["a"]
+    assert load.load_pending(spark, lake, str(tmp_path / "w"), str(tmp_path / "l"), NOW) == 1
+    sinks.append_observations(observations(spark, {"scrape_run_id": "b"}), lake)
+    assert load.load_pending(spark, lake, str(tmp_path / "w"), str(tmp_path / "l"), NOW) == 1
+
+
+def test_lake_without_manifest(spark, tmp_path):
+    lake = str(tmp_path / "lake")
+    rows = observations(spark, {"scrape_run_id": "a"}, {"scrape_run_id": "b"})
+    rows.write.partitionBy("scrape_run_id").parquet(lake)
+    for expected in (2, 0):
+        assert load.load_pending(spark, lake, str(tmp_path / "w"), str(tmp_path / "l"), NOW) == expected
+
+
+def test_plan_does_not_grow_with_merged_runs(spark, tmp_path):
+    sizes = []
+    for n in (3, 300):
+        path = str(tmp_path / f"raw{n}")
+        rows = spark.createDataFrame(observations(spark, {}).rdd.flatMap(lambda r, n=n: [(*r[:-1], f"run-{i}") for i in range(n)]), OBSERVATIONS)
+        load.load_runs(rows, path)
+        assert load.merge_months(spark, path, "9999") == n
+        load.load_runs(rows.limit(1).withColumn("scrape_run_id", F.lit("late")), path)
+        read = sources.read_observations(spark, path)
+        assert read.count() == n + 1
+        sizes.append(len(re.sub(r"\S*/raw\d+\S*", "", read._jdf.queryExecution().analyzed().toString())))
+    assert abs(sizes[0] - sizes[1]) < 50
+
+
+def test_run_is_not_doubled_by_a_merge_between_crash_and_retry(spark, tmp_path, obs, monkeypatch):
+    lake, warehouse, ledger = (str(tmp_path / n) for n in ("lake", "warehouse", "ledger"))
+    rows = obs.filter("observed_at < '1995-03-01'")
+    sinks.append_observations(rows, lake)
+    with monkeypatch.context() as patched:
+        patched.setattr(load, "ledger_rows", lambda rows, now: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            load.load_pending(spark, lake, warehouse, ledger, NOW)
+    assert load.merge_months(spark, warehouse, "199502") > 0
+    assert load.load_pending(spark, lake, warehouse, ledger, NOW) == rows.count()
+    assert same(sources.read_observations(spark, warehouse), rows)
+
+
+def test_ingests_side_by_side(spark, tmp_path, models):
+    import threading
+
+    pages = inputs.offer_pages(spark, models.sf_dir).drop("scrape_run_id").limit(60).cache()
+    lake, rejects = str(tmp_path / "lake"), str(tmp_path / "rejects")
+    threads = [threading.Thread(target=load.ingest_pages, args=(pages, f"run-{i}", lake, rejects)) for i in range(3)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    stored = sources.read_observations(spark, lake).groupBy("scrape_run_id").count().collect()
+    rejected = {r.scrape_run_id: r["count"] for r in spark.read.parquet(rejects).groupBy("scrape_run_id").count().collect()}
+    assert len(stored) == 3 and all(r["count"] + rejected.get(r.scrape_run_id, 0) == pages.count() for r in stored)
+    assert os.listdir(f"{rejects}/_parsed") == []

@@ -81,6 +81,7 @@ FROM (SELECT *, CAST(source_offer_id AS BIGINT) % 37 AS shape FROM obs) AS shape
 ODD_EDGES = ',"oops",[1],{"node":7},{"node":{"url":{"a":1}}},{"node":{}}'
 
 LEDGER_BEFORE = "run-1996-01"
+MERGED_BEFORE = "199601"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *keys: str) -> DataFrame:

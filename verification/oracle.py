@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from verification.inputs import LEDGER_BEFORE, OBS, PAGE_PARTS, RATES
+from verification.inputs import LEDGER_BEFORE, MERGED_BEFORE, OBS, PAGE_PARTS, RATES
 from verification.queries import ONE_RUN
 
 # CTEs, each with the ones it reads.
@@ -380,6 +380,15 @@ SELECTS: dict[str, tuple[list[str], str]] = {
     "l1_runs": (["obs"], "SELECT DISTINCT scrape_run_id FROM obs ORDER BY scrape_run_id"),
     "l2_pending": (["pending"], "SELECT DISTINCT scrape_run_id FROM pending"),
     "l3_pending_rows": (["pending"], f"SELECT {OBS_LIST} FROM pending"),
+    "l3_manifest": (
+        ["pending"],
+        "SELECT scrape_run_id, CAST(CAST(source_offer_id AS BIGINT) % 10 AS VARCHAR) AS batch, count(*) AS rows FROM pending GROUP BY ALL",
+    ),
+    "s1_k2_live_months": (
+        ["obs"],
+        "SELECT strftime(observed_at, '%Y%m') AS observed_month, scrape_run_id, count(*) AS stored_rows FROM obs"
+        f" WHERE strftime(observed_at, '%Y%m') >= '{MERGED_BEFORE}' OR month(observed_at) = 6 GROUP BY ALL",
+    ),
     "l4_ledger": (["pending"], "SELECT scrape_run_id, count(*) AS rows_loaded FROM pending GROUP BY scrape_run_id"),
     "l5_total": (["pending"], "SELECT count(*) AS rows_loaded FROM pending"),
     "t1_stg_obs": (["obs"], f"SELECT {OBS_LIST} FROM obs"),

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from lotwise.plans import alerts, dashboard, load, marts, quality, reports, staging
 from lotwise.schemas import RATE_KEYS
-from lotwise.sinks.tables import compact_latest
+from lotwise.sinks.tables import compact_latest, manifest_rows, with_month
 from lotwise.sources import listings, offer_pages, rate_payloads
-from lotwise.sources.tables import read_run
+from lotwise.sources.tables import live_runs, read_run
 from verification import inputs
 
 # Prices of the given tables have two decimals.
@@ -136,6 +136,19 @@ def _ledger(m: Models) -> DataFrame:
     return load.ledger_rows(_pending(m), now)
 
 
+def _batched(m: Models) -> DataFrame:
+    """Observations in ten batches: a run may be in several."""
+    return m.obs().withColumn("batch", (F.col("source_offer_id").cast("bigint") % 10).cast("string"))
+
+
+def _live(m: Models) -> DataFrame:
+    """What is read of the run folders after a merge of the months before a fixed one: runs from
+    then on, and those that came late for a merged month."""
+    stored = with_month(m.obs(), "observed_at")
+    late = stored.filter(F.month("observed_at") == 6).select("observed_month", "scrape_run_id")
+    return live_runs(stored, inputs.MERGED_BEFORE, late).groupBy("observed_month", "scrape_run_id").agg(F.count("*").alias("stored_rows"))
+
+
 QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "s3_page_json": lambda m: offer_pages.extract_page_json(inputs.offer_pages(m.spark, m.sf_dir)).drop("html"),
     "s4_s5_offers": lambda m: _pages(m)[0],
@@ -153,6 +166,8 @@ QUERIES: dict[str, Callable[[Models], DataFrame]] = {
     "l1_runs": lambda m: load.list_runs(m.obs()),
     "l2_pending": lambda m: load.pending_runs(m.obs(), inputs.ledger(m.obs())),
     "l3_pending_rows": _pending,
+    "l3_manifest": lambda m: load.pending_manifest(manifest_rows(_batched(m)), inputs.ledger(m.obs())),
+    "s1_k2_live_months": _live,
     "l4_ledger": lambda m: _ledger(m).drop("loaded_at"),
     "l5_total": lambda m: load.total_loaded(_ledger(m)),
     "t1_stg_obs": lambda m: m.stg(),
