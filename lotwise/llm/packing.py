@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import zlib
 
 import numpy as np
@@ -23,16 +24,29 @@ def pieces_of(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first)] + [(s, capacity) for s in range(first, n, capacity)] if n else []
 
 
+def added_tokens(path: str) -> tuple[tuple[str, int], ...]:
+    """Strings and ids that a tokenizer's file adds to its vocabulary: its library finds them in
+    any text before all else."""
+    with open(path, encoding="utf-8") as file:
+        added = json.load(file)["added_tokens"]
+    for token in added:
+        if any(token[flag] for flag in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"only plain added tokens are known, not {token}")
+    return tuple((token["content"], token["id"]) for token in added)
+
+
 def tokenized(
     docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID,
-    ranks: str | None = None, pattern: str | None = None, with_ids: bool = True,
+    ranks: str | None = None, pattern: str | None = None, with_ids: bool = True, special: dict[str, int] | None = None,
 ) -> DataFrame:
     """One row per piece: key, piece (from 0), start, length, ids_crc32 and, if asked for,
-    ids. Null and empty texts are one piece of the end id alone."""
+    ids. Null and empty texts are one piece of the end id alone. ``special`` strings have ids of
+    their own wherever they stand in a text; by default those that the tokenizer's file adds."""
     ranks, pattern = ranks or vocabulary_path("byte_bpe_50k.tiktoken"), pattern or split_pattern()
+    special = added_tokens(vocabulary_path("byte_bpe_50k.json")) if special is None else tuple(special.items())
 
     def batches(rows):
-        encoder, end = TreeEncoder.of(ranks, pattern), np.array([end_id], "<u4").tobytes()
+        encoder, end = TreeEncoder.of(ranks, pattern, True, special), np.array([end_id], "<u4").tobytes()
         for batch in rows:
             found = []
             for document, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -92,7 +106,7 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int,
 
 def packed(pieces: DataFrame, key: list[str], capacity: int = CAPACITY) -> DataFrame:
     """Add ``sequence_id`` and ``offset``. ``pieces`` has ``length`` (1 to ``capacity``) and a
-    unique ``key``; it is read four times, so it should be a stored table. Its histogram, at
+    ``key``; rows that agree in it must be equal, so that it does not matter which of them takes which place. It is read four times, so it should be a stored table. Its histogram, at
     most ``capacity`` rows, is all that the driver sees. Input columns called sequence_id or
     offset are replaced; others stay. An empty input gives an empty result."""
     spark = pieces.sparkSession
@@ -109,8 +123,9 @@ def packed(pieces: DataFrame, key: list[str], capacity: int = CAPACITY) -> DataF
 
 
 def packed_documents(docs: DataFrame, with_ids: bool = False) -> DataFrame:
-    """Pieces of all documents with their places."""
-    return packed(stored(tokenized(docs, with_ids=with_ids), "pieces"), ["doc_id", "piece"])
+    """Pieces of all documents with their places. Repeated and null ids are packed row by row:
+    pieces that agree in id, number, start, length and ids are the same."""
+    return packed(stored(tokenized(docs, with_ids=with_ids), "pieces"), ["doc_id", "piece", "start", "length", "ids_crc32"])
 
 
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

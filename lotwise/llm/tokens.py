@@ -1,16 +1,18 @@
 """Byte-level BPE as a tree reduction: halves are encoded by themselves and joined.
 
-A text longer than a leaf is cut in the middle, and its halves are encoded recursively. Two
-neighbours are joined by a window around the cut that grows until tokens outside it cannot
-change, and that is encoded anew:
-
-* between words, the window grows to the next place on either side where white space
-  follows other text. No match of the split pattern reaches over such a place, and the
-  pattern looks at no character before its match, so matches left and right stay. As the
-  window follows from the text alone, the halves are encoded without it;
-* within one long match, the window grows by tokens until the outermost token of the window
-  and its outer neighbour encode, as a pair, to themselves. A sequence of tokens is the BPE
-  of its bytes if each pair of neighbours is, so the joined sequence is proven.
+A text longer than a leaf is cut in the middle, wherever that is. What is known of a part
+alone is a ``Part``: ids that stand whatever stands beside it, and the rims before and after
+them, which its neighbours may change. Two neighbours are joined by the window of the rims
+that meet: it reaches from the cut to the next place on either side that no match of the split
+pattern reaches over (white space after other text; the pattern looks at no character before
+its match), so the ids outside are proven, and the window is encoded anew. A part without
+such a place is a rim as a whole, and the window grows with the next join. Joins are
+associative, and the empty part changes nothing.
+
+A match is encoded the same way, by bytes: halves by themselves, joined by a window that grows
+by tokens until the outermost token of the window and its outer neighbour encode, as a pair,
+to themselves. A sequence of tokens is the BPE of its bytes if each pair of neighbours is, so
+the joined sequence is proven.
 
 Decoding concatenates the tokens' bytes up the same tree.
 """
@@ -20,6 +22,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+from dataclasses import dataclass
 
 import numpy as np
 
@@ -27,39 +30,65 @@ from lotwise.llm.common import by_value, per_worker
 
 # The characters with the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0  -     　"
-LEAF = 4096
-#: Matches of more bytes than this are encoded by the tree as well.
-LONG_MATCH = 256
+LEAF = 256
+#: Bytes of a match that are merged as they are.
+SHORT_MATCH = 16
 #: Segments kept per worker process (about 80 MB).
 CACHE = 400_000
 
 _REPEATED = re.compile(f"[{WHITE}] ")
 _SEGMENT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
 _LAST_GAP = re.compile(f"(?s).*[^{WHITE}](?=[{WHITE}])")
+_WHITE = re.compile(f"[{WHITE}]")
 _GAP = re.compile(f"[^{WHITE}](?=[{WHITE}])")
 
 
+@dataclass(frozen=True)
+class Part:
+    """What is known of a stretch of text: ``middle``, ids that are proven, as bytes, and the
+    text before and after. ``middle`` is none where the text has no place that all matches
+    keep to; it is ``left`` then."""
+
+    left: str = ""
+    middle: bytes | None = None
+    right: str = ""
+
+
 class TreeEncoder(dict):
     """Encoder for one vocabulary of ranks. As a dict it maps what follows a space up to the
-    next space to that segment's ids as little-endian unsigned 32-bit bytes."""
-
-    def __init__(self, ranks_path: str, pattern: str, leaf: int = LEAF, long_match: int = LONG_MATCH):
+    next space to that segment's ids as little-endian unsigned 32-bit bytes. With ``library``,
+    short segments are encoded by a library of the same vocabulary, which is faster. Strings
+    of ``special`` are found in any text first, the longest at a place, and have ids of their own."""
+
+    def __init__(
+        self, ranks_path: str, pattern: str, leaf: int = LEAF, short_match: int = SHORT_MATCH, library: bool = False,
+        special: dict[str, int] | None = None,
+    ):
         import regex
-        import tiktoken
 
         with open(ranks_path, "rb") as lines:
             pairs = [line.split() for line in lines if line.strip()]
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.vocabulary = {rank: token for token, rank in self.ranks.items()}
+        self.special = special or {}
+        self.vocabulary |= {rank: token.encode() for token, rank in self.special.items()}
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pattern = regex.compile(pattern)
-        self.leaf, self.long_match = max(2, leaf), max(2, long_match)
-        self.base = tiktoken.Encoding("leaf", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
+        self.leaf, self.short_match = max(2, leaf), max(2, short_match)
+        self.base = None
+        if library:
+            import tiktoken
+
+            self.base = tiktoken.Encoding("leaf", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
         self.pairs: dict[tuple[int, int], bool] = {}
+        #: Joins of neighbours so far: of parts, and of halves of a match.
+        self.joins, self.halves = 0, 0
 
     @staticmethod
-    def of(ranks_path: str, pattern: str) -> TreeEncoder:
+    def of(ranks_path: str, pattern: str, library: bool = False, special: tuple[tuple[str, int], ...] = ()) -> TreeEncoder:
         """The worker process's encoder."""
-        return per_worker(("bpe", ranks_path, pattern), lambda: TreeEncoder(ranks_path, pattern))
+        key = ("bpe", ranks_path, pattern, library, special)
+        return per_worker(key, lambda: TreeEncoder(ranks_path, pattern, library=library, special=dict(special)))
 
     def __missing__(self, after_space: str) -> bytes:
         ids = self._segment(" " + after_space)
@@ -69,7 +98,45 @@ class TreeEncoder(dict):
 
     def encode(self, text: str) -> bytes:
         """Ids of a text of any length, as little-endian unsigned 32-bit integers."""
-        return self._tree(text, 0, len(text))
+        if self.cut is None:
+            return self.whole(self.part(text, 0, len(text)))
+        # Every second one is a special string.
+        found = self.cut.split(text)
+        return b"".join(
+            np.array([self.special[t]], "<u4").tobytes() if i % 2 else self.whole(self.part(t, 0, len(t))) for i, t in enumerate(found)
+        )
+
+    def whole(self, part: Part) -> bytes:
+        """Ids of a part that nothing stands beside."""
+        return self._ids(part.left) + (part.middle or b"") + self._ids(part.right)
+
+    def part(self, text: str, low: int, high: int) -> Part:
+        """What is known of ``text[low:high]`` alone: of halves, joined."""
+        if high - low > self.leaf:
+            half = (low + high) // 2
+            return self.join(self.part(text, low, half), self.part(text, half, high))
+        own = text[low:high]
+        first = _GAP.search(own)
+        if first is None:
+            return Part(own)
+        last = _LAST_GAP.match(own).end()
+        return Part(own[: first.end()], self._ids(own[first.end() : last]), own[last:])
+
+    def join(self, a: Part, b: Part) -> Part:
+        """What is known of two neighbours together; the text of ``b`` follows that of ``a``."""
+        if a == Part() or b == Part():
+            return b if a == Part() else a
+        self.joins += 1
+        before = a.left if a.middle is None else a.right
+        if a.middle is not None and b.middle is not None:
+            return Part(a.left, a.middle + self._ids(before + b.left) + b.middle, b.right)
+        # The cut itself may be a place that no match reaches over.
+        if before and b.left and not _WHITE.match(before[-1]) and _WHITE.match(b.left):
+            left, middle = (before, b"") if a.middle is None else (a.left, a.middle + self._ids(before))
+            return Part(left, middle, b.left) if b.middle is None else Part(left, middle + self._ids(b.left) + b.middle, b.right)
+        if a.middle is None:
+            return Part(before + b.left, b.middle, b.right)
+        return Part(a.left, a.middle, before + b.left)
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of the ids; halves are decoded by themselves and concatenated."""
@@ -78,26 +145,8 @@ class TreeEncoder(dict):
         half = len(ids) // 2
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
-    def _tree(self, text: str, low: int, high: int) -> bytes:
-        if high - low <= self.leaf:
-            return self._leaf(text[low:high])
-        start, stop = self._window(text, low, (low + high) // 2, high)
-        return self._tree(text, low, start) + self._leaf(text[start:stop]) + self._tree(text, stop, high)
-
-    def _window(self, text: str, low: int, cut: int, high: int) -> tuple[int, int]:
-        """The nearest places around ``cut`` that no match reaches over."""
-        width, start = 64, low
-        while True:
-            if found := _LAST_GAP.match(text, max(low, cut - width), cut + 1):
-                start = found.end()
-                break
-            if cut - width <= low:
-                break
-            width *= 2
-        found = _GAP.search(text, max(start, cut - 1), high)
-        return start, found.end() if found and found.end() < high else high
-
-    def _leaf(self, text: str) -> bytes:
+    def _ids(self, text: str) -> bytes:
+        """Ids of a text by its segments, each up to the next space."""
         if not _REPEATED.search(text):
             first, *others = text.split(" ")
             return self._segment(first) + b"".join(map(self.__getitem__, others))
@@ -107,21 +156,20 @@ class TreeEncoder(dict):
     def _segment(self, segment: str) -> bytes:
         if not segment:
             return b""
-        if len(segment) <= self.long_match // 4:
-            ids = self.base.encode_ordinary(segment)
-        else:
-            ids = []
-            for match in self.pattern.findall(segment):
-                data = match.encode()
-                ids += self._piece(data) if len(data) > self.long_match else self.base.encode_ordinary(match)
+        if self.base is not None and len(segment) < 64:
+            return np.array(self.base.encode_ordinary(segment), "<u4").tobytes()
+        ids = []
+        for match in self.pattern.findall(segment):
+            ids += self._piece(match.encode())
         return np.array(ids, "<u4").tobytes()
 
     def _piece(self, data: bytes) -> list[int]:
         """One match: halves by themselves, joined by windows of tokens."""
         if data in self.ranks:
             return [self.ranks[data]]
-        if len(data) <= 32:
+        if len(data) <= self.short_match:
             return self._merge(data)
+        self.halves += 1
         half = len(data) // 2
         left, right = self._piece(data[:half]), self._piece(data[half:])
         if self._stable(left[-1], right[0]):

@@ -36,8 +36,8 @@ def multi():
 def test_tree_encoding_is_that_of_the_library(multi):
     pieces = ["ab", " ", "\n", "'", "s", "'ll", "  ", "1", "é", "中", "🙂", "the", "\x1c", "　", "!", "aa", "\r\n", "ſ", "٣"]
     rnd = random.Random(1)
-    for leaf, long_match in ((2, 2), (7, 8), (16, 33), (64, 256)):
-        tree = TreeEncoder(bpe.vocabulary_path(), bpe.split_pattern(), leaf, long_match)
+    for leaf, short_match in ((2, 2), (7, 8), (16, 33), (64, 256)):
+        tree = TreeEncoder(bpe.vocabulary_path(), bpe.split_pattern(), leaf, short_match)
         for _ in range(400):
             text = "".join(rnd.choice(pieces) for _ in range(rnd.randint(0, 120)))
             if rnd.random() < 0.3:
@@ -53,6 +53,31 @@ def test_long_runs_without_a_gap(multi, text):
     assert np.frombuffer(tree.encode(text), "<u4").tolist() == multi.encode_ordinary(text)
 
 
+def test_parts_are_joined_in_most_documents(spark, multi):
+    """By the tree with its own merges: no library encodes anything here."""
+    tree = TreeEncoder(bpe.vocabulary_path(), bpe.split_pattern())
+    assert tree.base is None
+    joined, texts = 0, [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    for text in texts:
+        before = tree.joins
+        assert np.frombuffer(tree.encode(text), "<u4").tolist() == multi.encode_ordinary(text)
+        joined += tree.joins > before
+    assert joined > 0.5 * len(texts) and tree.halves > 0
+
+
+def test_joins_are_associative():
+    rnd = random.Random(3)
+    tree = TreeEncoder(bpe.vocabulary_path(), bpe.split_pattern(), leaf=5, short_match=4)
+    for _ in range(300):
+        text = "".join(rnd.choice(["ab", "the", " ", "\n", "é", "'ll", "1", "  ", "word"]) for _ in range(rnd.randint(0, 40)))
+        cuts = sorted(rnd.randint(0, len(text)) for _ in range(rnd.randint(0, 6)))
+        pieces = [tree.part(text, a, b) for a, b in zip([0, *cuts], [*cuts, len(text)])]
+        while len(pieces) > 1:
+            i = rnd.randrange(len(pieces) - 1)
+            pieces[i : i + 2] = [tree.join(pieces[i], pieces[i + 1])]
+        assert tree.whole(pieces[0]) == tree.encode(text)
+
+
 def test_token_digests(spark, odd, none, multi):
     rows = bpe.digests(odd.select("doc_id", "text")).collect()
     expected = Counter()
@@ -74,9 +99,11 @@ def test_token_digests(spark, odd, none, multi):
 def test_ids_are_those_of_the_tokenizers_file():
     tokenizers = pytest.importorskip("tokenizers")
     plain = tokenizers.Tokenizer.from_file(bpe.vocabulary_path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
-    tree = TreeEncoder(bpe.vocabulary_path("byte_bpe_50k.tiktoken"), bpe.split_pattern())
-    for text in [t or "" for _, t in odd_texts()] + ["<|endoftext|> a", "\x00\x01", "don't  stop\n\n\n"]:
+    special = dict(packing.added_tokens(bpe.vocabulary_path("byte_bpe_50k.json")))
+    assert special == {"<|endoftext|>": 50256}
+    tree = TreeEncoder(bpe.vocabulary_path("byte_bpe_50k.tiktoken"), bpe.split_pattern(), library=True, special=special)
+    mixed = ["<|endoftext|> a", "a  <|endoftext|>", "one <|endoftext|><|endoftext|> two", "<|endoftext|", "  <|endoftext|>  x\n\n<|endoftext|>", "word<|endoftext|>word " * 300]
+    for text in [t or "" for _, t in odd_texts()] + mixed + ["\x00\x01", "don't  stop\n\n\n"]:
         assert np.frombuffer(tree.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
@@ -112,6 +139,18 @@ def test_packing(spark, odd, none):
     assert {r.length for r in full[1:]} == {1024}
 
 
+def test_added_tokens_are_packed(spark):
+    tokenizers = pytest.importorskip("tokenizers")
+    plain = tokenizers.Tokenizer.from_file(bpe.vocabulary_path("byte_bpe_50k.json"))
+    rows = [(1, "<|endoftext|> a"), (2, "b <|endoftext|>"), (3, "c<|endoftext|>d " * 700), (3, "c<|endoftext|>d " * 700), (3, "other"), (None, "x"), (None, "x")]
+    expected = Counter()
+    for i, text in rows:
+        ids = plain.encode(text, add_special_tokens=False).ids + [2]
+        for piece, (start, length) in enumerate(packing.pieces_of(len(ids), 1024)):
+            expected[i, piece, start, length, zlib.crc32(np.array(ids[start : start + length], "<u4").tobytes())] += 1
+    check_packing(packing.packed_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect(), expected, 1024)
+
+
 def best_fit(lengths, capacity):
     """Plain best fit, longest first: the number of sequences."""
     room = []
@@ -186,6 +225,49 @@ def test_license_phrases_have_all_their_places(spark, odd, none):
     assert licenses.scanned(none).collect() == []
 
 
+def test_fragments_around_a_notice(spark):
+    """Fragments of a notice, however many, neither hide the whole one nor make one."""
+    mit, gpl = licenses.NOTICES["mit"], licenses.NOTICES["gpl"]
+    rnd = random.Random(6)
+
+    def fragments(text, n):
+        tokens = text.split(" ")
+        cuts = [rnd.randrange(len(tokens) - 4) for _ in range(n)]
+        return " ".join(" ".join(tokens[c : c + 4]) for c in cuts)
+
+    rows = [
+        (1, "Permission is hereby granted " * 60 + mit), (2, mit), (3, "Permission is hereby granted " * 60), (4, mit + " charge to any person" * 90),
+        (5, fragments(mit, 40) + " " + mit + " " + fragments(mit, 40)), (6, fragments(gpl, 30) + " filler " * 50 + gpl), (7, " word ".join(mit.split(" ")[:20])),
+    ] + [(10 + i, fragments(mit, 12) + " " + " ".join(t for t in mit.split(" ") if rnd.random() < 0.97)) for i in range(12)]
+
+    def plain(text):
+        """The best window of twice the words over the votes of neighbouring diagonals."""
+        lower = str.maketrans(licenses.UPPER, licenses.LOWER)
+        own = re.findall(licenses.WORD, text.translate(lower))
+        score, labels = 0.0, set()
+        for label, notice in licenses.NOTICES.items():
+            known = re.findall(licenses.WORD, notice.translate(lower))
+            grams = [tuple(known[i : i + 3]) for i in range(len(known) - 2)]
+            votes = [(p - q, p, q) for p in range(len(own) - 2) for q, g in enumerate(grams) if tuple(own[p : p + 3]) == g]
+            spans, last = [], None
+            for d, p, q in sorted(votes):
+                if last is None or d - last > licenses.NEAR:
+                    spans.append([])
+                spans[-1].append((p, q))
+                last = d
+            for span in spans:
+                best = max(len({q for p, q in span if a <= p <= a + 2 * len(known) - 3}) for a, _ in span) / len(grams)
+                if best >= licenses.COVERED:
+                    labels.add(label)
+                    score = max(score, best)
+        return ",".join(sorted(labels)), score
+
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.labels, r.score) for r in licenses.scanned(docs).collect()}
+    assert found == {i: plain(t) for i, t in rows}
+    assert found[1] == found[2] == ("mit", 1.0) and found[3] == ("", 0.0) and found[5] == ("mit", 1.0)
+
+
 def test_license_templates_too_many_for_a_broadcast(spark, odd, monkeypatch):
     usual = Counter(map(tuple, licenses.scanned(odd).collect()))
     monkeypatch.setattr(licenses, "BROADCAST_GRAMS", 0)
