@@ -4,12 +4,14 @@ Rolling word 3-grams of documents are joined with those of known texts. A match
 the diagonal document position minus template position: the words of a phrase that stand
 consecutively vote for one diagonal, a notice with words added or left out for a few
 neighbouring ones, which are merged. A span counts if enough of the template's 3-grams
-stand in it. Only DataFrame functions run on the executors.
+stand in its best window of twice the template's words; single fragments elsewhere in the
+span do not matter. Only DataFrame functions run on the executors.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -22,6 +24,8 @@ K = 3
 NEAR = 4
 #: Share of a template's 3-grams that a span must hold.
 COVERED = 0.75
+#: A notice may stand among as many other words as make this many times its own.
+WIDE = 2
 #: Templates of up to this many 3-grams are broadcast; more are joined by a shuffle.
 BROADCAST_GRAMS = 200_000
 
@@ -75,7 +79,8 @@ def word_list(text: str = "text") -> Column:
 
 def spans(docs: DataFrame, templates: list[Template], row: str, text: str = "text", near: int = NEAR) -> DataFrame:
     """Per row and template, every merged span: ``template`` (place in the list), ``start``
-    and ``stop`` (words), ``coverage`` (0 to 1). One more row per input row, with a null
+    and ``stop`` (words) and ``coverage`` (0 to 1), which for a template that need not stand exactly
+    is that of the best window of ``WIDE`` times its words. One more row per input row, with a null
     template, carries ``n_words``. ``row`` identifies the rows."""
     spark = docs.sparkSession
     grams = [(i, p, *t.words[p : p + K]) for i, t in enumerate(templates) for p in range(len(t.words) - K + 1)]
@@ -96,38 +101,47 @@ def spans(docs: DataFrame, templates: list[Template], row: str, text: str = "tex
         & (F.col("_w") == known["k0"]) & (F.col("_w1") == known["k1"]) & (F.col("_w2") == known["k2"]),
         "left",
     ).filter("template IS NOT NULL OR _p = 0")
+    of = lambda value: F.create_map(*(x for i, t in enumerate(templates) for x in (F.lit(i), F.lit(value(t)))))[F.col("template")]
+    loose = F.when(~of(lambda t: t.exact), F.struct(F.col("_p").alias("p"), "place"))
     diagonals = votes.groupBy("_row", "template", (F.col("_p") - F.col("place")).alias("_diagonal")).agg(
-        F.collect_set("place").alias("_places"), F.min("_p").alias("_first"), F.max("_p").alias("_last"),
+        F.collect_set("place").alias("_places"), F.collect_list(loose).alias("_votes"), F.min("_p").alias("_first"), F.max("_p").alias("_last"),
         F.max("_n").alias("n_words"),
     )
     # A window is one document and template: as large as that document at most.
     line = Window.partitionBy("_row", "template").orderBy("_diagonal")
-    widths = F.create_map(*(x for i, t in enumerate(templates) for x in (F.lit(i), F.lit(0 if t.exact else near))))
-    fresh = F.col("_diagonal") - F.lag("_diagonal").over(line) > F.coalesce(widths[F.col("template")], F.lit(0))
+    fresh = F.col("_diagonal") - F.lag("_diagonal").over(line) > F.coalesce(of(lambda t: 0 if t.exact else near), F.lit(0))
     grouped = diagonals.withColumn("_span", F.sum(F.coalesce(fresh.cast("int"), F.lit(0))).over(line))
-    sizes = F.create_map(*(x for i, t in enumerate(templates) for x in (F.lit(i), F.lit(len(t.words) - K + 1))))
-    return grouped.groupBy("_row", "template", "_span").agg(
+    merged = grouped.groupBy("_row", "template", "_span").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("_places")))).alias("_held"),
+        F.sort_array(F.flatten(F.collect_list("_votes"))).alias("_votes"),
         F.min("_first").alias("start"),
         (F.max("_last") + K).alias("stop"),
         F.min("_diagonal").alias("diagonal"),
         F.max("n_words").alias("n_words"),
-    ).withColumn("coverage", F.col("_held") / sizes[F.col("template")])
+    )
+    # As many votes as a window can have follow each vote, so the work grows with the votes.
+    most = of(lambda t: WIDE * len(t.words) * max(Counter(zip(t.words, t.words[1:], t.words[2:])).values()))
+    reach = of(lambda t: WIDE * len(t.words) - K)
+    ahead = lambda i: F.slice("_votes", i + 1, most)
+    close = lambda i: F.filter(ahead(i), lambda v: v["p"] <= F.get("_votes", i)["p"] + reach)
+    windows = F.transform(F.sequence(F.lit(0), F.size("_votes") - 1), lambda i: F.size(F.array_distinct(F.transform(close(i), lambda v: v["place"]))))
+    best = F.when(F.size("_votes") > 0, F.when(F.col("stop") - F.col("start") <= of(lambda t: WIDE * len(t.words)), F.col("_held")).otherwise(F.array_max(windows)))
+    return merged.withColumn("coverage", F.coalesce(best, "_held") / of(lambda t: len(t.words) - K + 1)).drop("_votes")
 
 
 def scanned(docs: DataFrame, templates: list[Template] | None = None, covered: float = COVERED, text: str = "text") -> DataFrame:
     """Per input row of ``doc_id``: n_words, n_base, first_word, last_word, base_labels,
     labels and score (the best coverage, 1 where an exact phrase stands). Null and empty
-    texts have no words and empty labels; repeated rows and null ids give a row each."""
+    texts have no words and empty labels; repeated rows and null ids give a row each. Texts of any
+    length are scanned whole: the arrays of a row are as long as its text at most. Only
+    ``doc_id`` and the text are read, so other columns may have any names."""
     templates = default_templates() if templates is None else templates
     rows = docs.select("doc_id", text).withColumn("_id", F.struct("doc_id", F.monotonically_increasing_id().alias("n")))
     found = spans(rows, templates, "_id", text)
     label = F.create_map(*(x for i, t in enumerate(templates) for x in (F.lit(i), F.lit(t.label))))[F.col("template")]
     exact = F.create_map(*(x for i, t in enumerate(templates) for x in (F.lit(i), F.lit(t.exact))))[F.col("template")]
     base = exact & (F.col("coverage") == 1)
-    # A notice's span may hold some words more, but not be spread over a text.
-    length = F.create_map(*(x for i, t in enumerate(templates) for x in (F.lit(i), F.lit(len(t.words)))))[F.col("template")]
-    other = ~exact & (F.col("coverage") >= covered) & (F.col("stop") - F.col("start") <= 2 * length)
+    other = ~exact & (F.col("coverage") >= covered)
     found = found.withColumn("_base", F.coalesce(base, F.lit(False))).withColumn("_other", F.coalesce(other, F.lit(False)))
     found = found.withColumn("_label", label)
     joined = lambda c: F.array_join(F.sort_array(F.collect_set(F.when(c, F.col("_label")))), ",")
@@ -168,13 +182,18 @@ steps AS (
   SELECT *, CASE WHEN diagonal - lag(diagonal) OVER line > CASE WHEN exact THEN 0 ELSE {near} END THEN 1 ELSE 0 END AS fresh
   FROM votes WINDOW line AS (PARTITION BY doc_id, template ORDER BY diagonal, p)),
 numbered AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal, p) AS span FROM steps),
+windows AS (
+  SELECT a.doc_id, a.template, a.span, a.p, count(DISTINCT b.place) AS held
+  FROM numbered a JOIN numbered b ON a.doc_id = b.doc_id AND a.template = b.template AND a.span = b.span
+    AND b.p BETWEEN a.p AND a.p + 2 * a.size - {K}
+  WHERE NOT a.exact GROUP BY ALL),
 spans AS (
-  SELECT doc_id, label, exact, min(diagonal) AS diagonal,
-    CAST(count(DISTINCT place) AS DOUBLE) / (size - {K - 1}) AS coverage,
-    max(p) + {K} - min(p) <= 2 * size AS dense
-  FROM numbered GROUP BY doc_id, template, label, exact, size, span),
+  SELECT n.doc_id, label, exact, min(diagonal) AS diagonal,
+    CAST(CASE WHEN exact THEN count(DISTINCT place) ELSE max(held) END AS DOUBLE) / (size - {K - 1}) AS coverage
+  FROM numbered n LEFT JOIN windows w ON w.doc_id = n.doc_id AND w.template = n.template AND w.span = n.span AND w.p = n.p
+  GROUP BY n.doc_id, n.template, label, exact, size, n.span),
 judged AS (
-  SELECT *, exact AND coverage = 1 AS base, NOT exact AND coverage >= {covered} AND dense AS other FROM spans),
+  SELECT *, exact AND coverage = 1 AS base, NOT exact AND coverage >= {covered} AS other FROM spans),
 found AS (
   SELECT doc_id, count(*) FILTER (WHERE base) AS n_base, min(diagonal) FILTER (WHERE base) AS first_word,
     max(diagonal) FILTER (WHERE base) AS last_word,
