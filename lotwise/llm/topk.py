@@ -12,7 +12,7 @@ from lotwise.llm.vectors import matrix, smallest_first, usable
 
 SCALE = 1024
 #: Rows of a block of candidates and of a block of queries.
-BLOCK, QUERIES = 4096, 1024
+BLOCK, QUERIES = 4096, 16_384
 #: Queries that have dense score arrays at the same time.
 TOGETHER = 64
 
@@ -33,10 +33,18 @@ def scatter(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     return scores
 
 
+def whole_numbers(values: np.ndarray) -> np.ndarray:
+    """The same as Python integers, of any size."""
+    made = np.empty(values.shape, object)
+    made[...] = [[int(v) for v in row] for row in values]
+    return made
+
+
 def top_products(vectors: DataFrame, query: Column, k: int = 10, scale: int = SCALE) -> DataFrame:
     """query_id, rank, vec_id and score of the k candidates of the largest integer inner
     product with each query; all others are its candidates, if of equally many components.
-    Exact in 64 bits, so components should stay below 2**26. ``query`` chooses among ids.
+    Where 62 bits may not hold a product, whole numbers of any size are used; a score of a block's
+    best that needs more than 64 bits is an error. ``query`` chooses among ids.
 
     All queries meet all candidates in blocks: a task holds one block of each. Every block
     gives at most k rows a query, which are merged by a window that keeps k. Copies,
@@ -56,15 +64,20 @@ def top_products(vectors: DataFrame, query: Column, k: int = 10, scale: int = SC
         group = group.sort_by("vec_id")
         asks = group.column("_query").to_numpy(zero_copy_only=False).astype(bool)
         ids = group.column("vec_id").to_numpy()
-        scaled = np.floor(matrix(group.column("embedding")) * scale).astype(np.int64)
+        scaled = np.floor(matrix(group.column("embedding")) * scale)
+        large = np.abs(scaled).max(initial=0) ** 2 * scaled.shape[1] >= 2.0**62
+        scaled = whole_numbers(scaled) if large else scaled.astype(np.int64)
         found = []
         theirs, candidate = ids[~asks], scaled[~asks]
         for at in range(0, int(asks.sum()), TOGETHER):
-            own = ids[asks][at : at + TOGETHER]
-            for q, scores in zip(own, scatter(scaled[asks][at : at + TOGETHER], candidate)):
-                for p in smallest_first(scores, theirs, k + 1):
-                    if theirs[p] != q:
-                        found.append((int(q), int(theirs[p]), int(scores[p])))
+            own, some = ids[asks][at : at + TOGETHER], scaled[asks][at : at + TOGETHER]
+            for q, scores in zip(own, some @ candidate.T if large else scatter(some, candidate)):
+                others = theirs != q
+                scores, rest = scores[others], theirs[others]
+                best = sorted(range(len(rest)), key=lambda p: (-scores[p], rest[p]))[:k] if large else smallest_first(scores, rest, k)
+                if any(abs(scores[p]) >= 2**63 for p in best if large):
+                    raise ValueError(f"a score of vector {q} needs more than 64 bits")
+                found += [(int(q), int(rest[p]), int(scores[p])) for p in best]
         q, v, s = zip(*found) if found else ((), (), ())
         return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()), "score": pa.array(s, pa.int64())})
 
