@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import sys
 import tempfile
@@ -14,24 +15,40 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+#: The temporary folder of this driver process.
+_FOLDER: dict[str, str] = {}
+
+
 def by_value(module: str) -> None:
     """Ship the module's functions to executors whole, so these need not have the package."""
     cloudpickle.register_pickle_by_value(sys.modules[module])
 
 
 def per_worker(key: tuple, build):
-    """``build()`` once in each Python worker process; later tasks there get the same object."""
+    """``build()`` once in each Python worker process; later tasks there get the same object,
+    until a task asks for another one: a worker holds one at a time."""
     kept = vars(sys).setdefault("_lotwise_worker", {})
     if key not in kept:
+        kept.clear()
         kept[key] = build()
     return kept[key]
 
 
+def release_worker() -> None:
+    """Drop what ``per_worker`` holds; for tasks of a stage that needs their memory otherwise."""
+    vars(sys).setdefault("_lotwise_worker", {}).clear()
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a temporary one where it is unset (tests)."""
+    """The folder in ``spark.checkpoint.dir``. Where it is unset, a temporary one for a session
+    in one process (tests), and an error for a cluster, whose machines would not see it."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = per_worker(("shared",), _temporary)
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
+        if "shared" not in _FOLDER:
+            _FOLDER["shared"] = _temporary()
+        root = _FOLDER["shared"]
     return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}"
 
 

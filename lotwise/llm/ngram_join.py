@@ -25,17 +25,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import broadcast_if_small, by_value, stored, table
+from lotwise.llm.common import broadcast_if_small, by_value, release_worker, stored, table
 from lotwise.llm.components import components, extended
 
 WORDS = 5
 #: An element is common if more than this share of the sets hold it.
 COMMON = 0.0005
 #: Elements that are counted together, and sets remembered, in a task.
-BLOCK, SEEN = 4_000_000, 1_000_000
+BLOCK, SEEN = 2_000_000, 200_000
 #: Rows of one or two longs that may be broadcast (about 30 MB); more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 #: Bits of the largest sketch, and of the short one that nodes carry into large buckets.
@@ -146,12 +146,18 @@ def _longs(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64), pa.int64())
 
 
+def mark(text: str = "text") -> Column:
+    """Tells rows of one id apart by their texts."""
+    return F.xxhash64(F.coalesce(text, F.lit(""))).alias("mark")
+
+
 def sets_of(docs: DataFrame, words: int = WORDS, share: float = COMMON) -> DataFrame:
-    """Per row: doc_id, n_shingles, node, sketch and short (sketch). Besides, rows with ``element`` and ``held`` (and
+    """Per row: doc_id, n_shingles, node, sketch, short (sketch) and mark. Besides, rows with ``element`` and ``held`` (and
     no ``row``): elements that many sets of a block of rows hold. An element that is common
     in all is so in some block, so adding the blocks' counts finds it."""
 
     def batches(rows):
+        release_worker()
         seen, gathered, size = set(), [], 0
 
         def counted():
@@ -160,9 +166,9 @@ def sets_of(docs: DataFrame, words: int = WORDS, share: float = COMMON) -> DataF
             n = int(many.sum())
             return pa.RecordBatch.from_arrays(
                 [pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.binary()),
-                 pa.array([False] * n, pa.bool_()), _longs(element[many]), pa.array(held[many], pa.int64())], names)
+                 pa.array([False] * n, pa.bool_()), _longs(element[many]), pa.array(held[many], pa.int64()), pa.nulls(n, pa.int64())], names)
 
-        names = ["doc_id", "n_shingles", "node", "sketch", "short", "row", "element", "held"]
+        names = ["doc_id", "n_shingles", "node", "sketch", "short", "row", "element", "held", "mark"]
         for batch in rows:
             counts, nodes, sketches, shorts = [], [], [], []
             for text in batch.column(1).to_pylist():
@@ -179,15 +185,15 @@ def sets_of(docs: DataFrame, words: int = WORDS, share: float = COMMON) -> DataF
             n = batch.num_rows
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).cast(pa.int64()), pa.array(counts, pa.int64()), pa.array(nodes, pa.int64()),
-                 pa.array(sketches, pa.binary()), pa.array(shorts, pa.binary()), pa.array([True] * n, pa.bool_()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], names)
+                 pa.array(sketches, pa.binary()), pa.array(shorts, pa.binary()), pa.array([True] * n, pa.bool_()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), batch.column(2)], names)
             if size > BLOCK or len(seen) > SEEN:
                 yield counted()
                 seen, gathered, size = set(), [], 0
         if gathered:
             yield counted()
 
-    schema = "doc_id long, n_shingles long, node long, sketch binary, short binary, row boolean, element long, held long"
-    return docs.select("doc_id", "text").mapInArrow(batches, schema)
+    schema = "doc_id long, n_shingles long, node long, sketch binary, short binary, row boolean, element long, held long, mark long"
+    return docs.select("doc_id", "text", mark()).mapInArrow(batches, schema)
 
 
 def indexed(docs: DataFrame, common: np.ndarray, words: int = WORDS) -> DataFrame:
@@ -344,13 +350,13 @@ def crowded(rows: DataFrame, nodes: DataFrame, best: bool = False) -> DataFrame:
     return carried.mapInArrow(pairs, "x long, y long, label long, distance double")
 
 
-def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row. Null and empty texts have no
+def near_duplicates(docs: DataFrame, words: int = WORDS, marked: bool = False) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row, and its ``mark`` if asked for. Null and empty texts have no
     shingles and are linked with nothing; repeated rows have equal sets and are linked. A
     component without any id has a null one. Elements are 64-bit hashes of the words."""
     docs = docs.select("doc_id", "text")
     found = stored(sets_of(docs, words), "shingles")
-    rows = found.filter("row").select("doc_id", "n_shingles", "node")
+    rows = found.filter("row").select("doc_id", "n_shingles", "node", "mark")
     # Copies are aggregated before the shuffle.
     nodes = stored(found.filter("row AND node IS NOT NULL").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n_shingles"), F.max("sketch").alias("sketch"), F.max("short").alias("short")), "nodes")
     least = COMMON * nodes.count()
@@ -396,7 +402,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     named = named.select("node", "label").join(smallest, "label").select("node", "component")
     # A node of very many copies is a skewed key, which the adaptive planner splits.
     return rows.join(named, "node", "left").select(
-        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
+        "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"), *(["mark"] if marked else [])
     )
 
 

@@ -26,8 +26,8 @@ from lotwise.llm.common import by_value, per_worker, table, with_fields
 MAX_TOXIC, MAX_ORDINARY, MAX_BYTES = 2000, 8000, 60_000_000
 LEVEL, TOXIC_BYTES, ORDINARY_BYTES = 12, 16384, 110_000
 GAINS = range(1, 11)
-#: Windows remembered per worker process (about 100 MB).
-CACHE = 800_000
+#: Windows remembered per worker process (about 25 MB).
+CACHE = 200_000
 
 _WINDOW = re.compile(r"[^\W\d_]{1,32}")
 # Both dictionaries end with these bytes and so does each compressed window: a short input

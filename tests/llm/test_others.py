@@ -60,6 +60,16 @@ def test_top_products(spark, monkeypatch):
     assert topk.top_products(vectors(spark, rows), F.lit(False)).collect() == []
 
 
+def test_products_of_large_components(spark):
+    rows = [(0, [1e9, 1e9, 1.0]), (1, [1e9, -1e9, 3.0]), (2, [-1e9, 1e9, 1.0]), (3, [0.0, 0.0, 2.0]), (4, [1.0, 1.0, 1.0])]
+    whole = {i: [math.floor(1024 * x) for x in v] for i, v in rows}
+    scores = sorted((-sum(a * b for a, b in zip(whole[0], v)), i) for i, v in whole.items() if i)
+    found = topk.top_products(vectors(spark, rows), F.col("vec_id") == 0).collect()
+    assert [(r.vec_id, r.score) for r in sorted(found, key=lambda r: r["rank"])] == [(i, -s) for s, i in scores]
+    with pytest.raises(Exception, match="more than 64 bits"):
+        topk.top_products(vectors(spark, [(0, [1e30]), (1, [1e30])]), F.col("vec_id") == 0).collect()
+
+
 def test_sparse_products():
     rng = np.random.default_rng(0)
     for _ in range(20):
@@ -327,11 +337,11 @@ def test_registered_queries():
     import __spark_entry__ as contract
 
     numbers = Counter(name.split("_")[0] for name in contract.queries() if name.startswith("op"))
-    assert numbers == {f"op{n}": 1 for n in range(1, 11)}
+    assert numbers == {f"op{n}": 1 for n in range(1, 14)}
     assert "pipeline" in contract.queries() and contract.oracle_sql().keys() <= contract.queries().keys()
 
 
-@pytest.mark.parametrize("name", ["op1_licenses", "op6_ngram_join", "op7_topk"])
+@pytest.mark.parametrize("name", ["op1_licenses", "op6_ngram_join", "op7_topk", "op11_negatives", "op13_divergence"])
 def test_same_result_as_sql(spark, name):
     import __spark_entry__ as contract
     from verification.compare import connect, difference
