@@ -277,8 +277,8 @@ def test_license_templates_too_many_for_a_broadcast(spark, odd, monkeypatch):
 # Operator 6
 
 
-def plain_near(rows):
-    """(id, size, smallest reachable id) of every row, by comparing all pairs."""
+def plain_components(rows):
+    """Size and smallest reachable id of every row, by comparing all pairs."""
     sets = []
     for _, text in rows:
         parts = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
@@ -300,7 +300,12 @@ def plain_near(rows):
     for x in range(len(rows)):
         groups[find(x)].append(rows[x][0])
     least = {k: min((i for i in v if i is not None), default=None) for k, v in groups.items()}
-    return Counter((rows[x][0], len(sets[x]), least[find(x)]) for x in range(len(rows)))
+    return [(len(sets[x]), least[find(x)]) for x in range(len(rows))]
+
+
+def plain_near(rows):
+    """(id, size, smallest reachable id) of every row."""
+    return Counter((i, *found) for (i, _), found in zip(rows, plain_components(rows)))
 
 
 def test_near_duplicates_of_odd_texts(odd, none):
@@ -370,11 +375,10 @@ def test_near_duplicates_without_broadcasts(spark, odd, monkeypatch):
 # Operator 4
 
 
-def plain_repeats(rows):
-    """Per different (id, text): what stays, by looking at every window in order."""
-    known = {}
+def plain_gone(rows):
+    """Per different (id, text) which bytes go, by looking at every window in order."""
+    found, seen = {}, set()
     order = sorted({(i is not None, i or 0, t or "") for i, t in rows}, key=lambda r: r[:2])
-    seen = set()
     for some, i, text in order:
         data = text.encode()
         gone = bytearray(len(data))
@@ -383,9 +387,18 @@ def plain_repeats(rows):
             if window in seen:
                 gone[p : p + 100] = b"\1" * 100
             seen.add(window)
+        found[i if some else None, text] = gone
+    return found
+
+
+def plain_repeats(rows):
+    """Per row what stays."""
+    known = {}
+    for (i, text), gone in plain_gone(rows).items():
+        data = text.encode()
         runs = sum(1 for p in range(len(gone)) if gone[p] and not (p and gone[p - 1]))
         kept = bytes(c for c, g in zip(data, gone) if not g)
-        known[i if some else None, text] = (len(data), sum(gone), runs, hashlib.sha256(kept).hexdigest())
+        known[i, text] = (len(data), sum(gone), runs, hashlib.sha256(kept).hexdigest())
     return Counter((i, *known[i, t or ""]) for i, t in rows)
 
 
