@@ -4,10 +4,16 @@ A record larger than a segment is written as a first record and continuation rec
 may lie in other files than the first. Reading groups segments by the origin's identifier,
 orders them by number, checks that none is missing and that the total length is right, and
 then decodes the chunked transfer framing of the HTTP response inside.
+
+Archives have what the format asks of every record. Readers take any: plain or compressed, with
+one member for all records or one for each, decompressed a piece at a time; records of other types
+are skipped, and a response of another writer has no page_id but its address and payload.
 """
 
 from __future__ import annotations
 
+import base64
+import datetime as dt
 import hashlib
 import uuid
 import zlib
@@ -26,6 +32,8 @@ LEAST = 1000
 #: Records of one archive file, so that a file holds 8 MB of blocks at most.
 RECORDS = 512
 
+# Fixed value: how a revisit says that its payload is that of another record.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nTransfer-Encoding: chunked\r\n\r\n"
 
 
@@ -55,66 +63,149 @@ def record(headers: list[tuple[str, object]], block: bytes) -> bytes:
     return f"WARC/1.1\r\n{lines}\r\n".encode() + block
 
 
-def parsed(archive: bytes):
-    """(headers, block) of each record."""
+def pieces(archive: bytes, size: int = 1 << 20):
+    """The archive's bytes, decompressed member by member if it is compressed."""
+    if archive[:2] != b"\x1f\x8b":
+        yield archive
+        return
     at = 0
     while at < len(archive):
-        end = archive.index(b"\r\n\r\n", at)
-        lines = archive[at:end].decode().split("\r\n")
+        member = zlib.decompressobj(31)
+        while not member.eof:
+            if at >= len(archive):
+                raise ValueError("a member is cut off")
+            fed = archive[at : at + size]
+            yield member.decompress(fed)
+            at += len(fed) - len(member.unused_data)
+        # Some writers fill up with zeros.
+        while at < len(archive) and archive[at] == 0:
+            at += 1
+
+
+def parsed(archive: bytes):
+    """(headers, block) of each record, in the order of the archive. Names of headers are in
+    lower case."""
+    source, held = pieces(archive), bytearray()
+
+    def more() -> bool:
+        part = next(source, None)
+        if part is not None:
+            held.extend(part)
+        return part is not None
+
+    while True:
+        while held[:2] in (b"", b"\r", b"\r\n"):
+            if held[:2] == b"\r\n":
+                del held[:2]
+            elif not more():
+                if held:
+                    raise ValueError("a record is cut off")
+                return
+        looked = 0
+        while (end := held.find(b"\r\n\r\n", looked)) < 0:
+            looked = max(0, len(held) - 3)
+            if not more():
+                raise ValueError("a record is cut off")
+        lines = held[:end].decode("utf-8", "replace").split("\r\n")
         if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no record at byte {at}")
-        headers = dict(line.split(": ", 1) for line in lines[1:])
-        start, stop = end + 4, end + 4 + int(headers["Content-Length"])
-        if len(archive) < stop:
-            raise ValueError("a record is cut off")
-        yield headers, archive[start:stop]
-        at = stop + 4
+            raise ValueError(f"no record where {lines[0][:40]!r} stands")
+        headers: dict[str, str] = {}
+        name = ""
+        for line in lines[1:]:
+            if line[:1] in (" ", "\t") and name:
+                headers[name] += " " + line.strip()
+                continue
+            name, _, value = line.partition(":")
+            name = name.strip().lower()
+            headers[name] = value.strip()
+        size = int(headers["content-length"])
+        while len(held) < end + 4 + size:
+            if not more():
+                raise ValueError("a record is cut off")
+        yield headers, bytes(held[end + 4 : end + 4 + size])
+        del held[: end + 4 + size]
+
+
+def payload_of(block: bytes) -> bytes:
+    """What an HTTP response carries, without its transfer framing."""
+    head, gap, body = block.partition(b"\r\n\r\n")
+    if not gap:
+        return b""
+    framed = any(line.lower().replace(b" ", b"").startswith(b"transfer-encoding:") and b"chunked" in line.lower() for line in head.split(b"\r\n"))
+    return unchunked(body) if framed else body
+
+
+def matches(payload: bytes, digest: str) -> bool:
+    """Whether the payload has the digest that a record gives, if that is a SHA-1."""
+    kind, _, value = digest.partition(":")
+    if kind.lower() != "sha1":
+        return True
+    own = hashlib.sha1(payload)
+    return value.lower() == own.hexdigest() or value.upper() == base64.b32encode(own.digest()).decode()
 
 
 def judged(pages: DataFrame, least: int = LEAST) -> DataFrame:
     """Pages with ``digest`` (SHA-1 of the html in UTF-8; null: empty) and ``refers_to``: of
     equal payloads of at least ``least`` bytes, all but those of the largest page_id refer
-    to it. A page without id keeps its own payload."""
+    to it. A page without id keeps its own payload. ``record`` identifies the rows' records,
+    repeated ones too, and ``refers_record`` and ``refers_url`` are those of the page referred to."""
     # Extra columns stay behind here.
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html"))
     rows = rows.withColumn("digest", F.sha1(F.encode("html", "UTF-8")))
+    # The same on a repeated task: places of rows in the given files.
+    unique = F.md5(F.concat_ws(":", F.coalesce(F.col("page_id").cast("string"), F.lit("")), "digest", F.monotonically_increasing_id()))
+    rows = rows.withColumn("record", F.regexp_replace(unique, "^(.{8})(.{4})(.{4})(.{4})", "$1-$2-$3-$4-"))
     large = F.octet_length("html") >= least
     # Partly aggregated before the shuffle; only payloads that occur more than once remain.
-    shared = rows.filter(large).groupBy("digest").agg(F.max("page_id").alias("_keeper"), F.count("*").alias("_n"))
-    shared = shared.filter("_n > 1").select(F.col("digest").alias("_digest"), "_keeper")
+    shared = rows.filter(large).groupBy("digest").agg(F.max(F.struct("page_id", "record", "url")).alias("_last"), F.count("*").alias("_n"))
+    shared = shared.filter("_n > 1").select(F.col("digest").alias("_digest"), "_last", F.col("_last.page_id").alias("_keeper"))
     # A payload that many pages share is a skewed key: the adaptive planner splits it.
     joined = rows.join(shared, large & (F.col("digest") == F.col("_digest")), "left")
-    refers = F.when(F.col("page_id") != F.col("_keeper"), F.col("_keeper"))
-    return joined.select("page_id", "url", "html", "digest", refers.alias("refers_to"))
+    other = F.col("page_id") != F.col("_keeper")
+    return joined.select(
+        "page_id", "url", "html", "digest", "record", F.when(other, F.col("_keeper")).alias("refers_to"),
+        F.when(other, F.col("_last.record")).alias("refers_record"), F.when(other, F.col("_last.url")).alias("refers_url"),
+    )
 
 
-def written(pages: DataFrame, folder: str, least: int = LEAST, segment: int = SEGMENT, per_file: int = RECORDS) -> None:
-    """Write the pages as gzip archives into ``folder``."""
+def written(
+    pages: DataFrame, folder: str, least: int = LEAST, segment: int = SEGMENT, per_file: int = RECORDS, at: dt.datetime | None = None,
+) -> None:
+    """Write the pages as gzip archives into ``folder``. ``at`` (UTC) is the records' date; if
+    not given, now."""
+    date = f"{at or dt.datetime.now(dt.timezone.utc):%Y-%m-%dT%H:%M:%SZ}"
 
     def name(page_id) -> str:
         return f"<urn:page:{'' if page_id is None else page_id}>"
 
+    def address(url) -> str:
+        return quote(url or "", safe=":/?#[]@!$&'()*+,;=%")
+
     def records(row: dict):
-        page = [("WARC-Page", name(row["page_id"])), ("WARC-Target-URI", quote(row["url"] or "", safe=":/?#[]@!$&'()*+,;=%"))]
-        own, digest = f"<urn:uuid:{uuid.uuid4()}>", ("WARC-Payload-Digest", f"sha1:{row['digest']}")
+        page = [("WARC-Date", date), ("WARC-Page", name(row["page_id"])), ("WARC-Target-URI", address(row["url"]))]
+        own, digest = f"<urn:uuid:{row['record']}>", ("WARC-Payload-Digest", f"sha1:{row['digest']}")
+        kind = ("Content-Type", "application/http; msgtype=response")
         if row["refers_to"] is not None:
-            refers = ("WARC-Refers-To-Page", name(row["refers_to"]))
-            yield record([("WARC-Type", "revisit"), ("WARC-Record-ID", own), *page, digest, refers], b"")
+            refers = [
+                ("WARC-Profile", PROFILE), ("WARC-Refers-To", f"<urn:uuid:{row['refers_record']}>"),
+                ("WARC-Refers-To-Target-URI", address(row["refers_url"])), ("WARC-Refers-To-Date", date), ("WARC-Refers-To-Page", name(row["refers_to"])),
+            ]
+            yield record([("WARC-Type", "revisit"), ("WARC-Record-ID", own), *page, digest, *refers, kind], _HEAD)
             return
         block = _HEAD + chunked(row["html"].encode())
-        first = [("WARC-Type", "response"), ("WARC-Record-ID", own), *page, digest]
+        first = [("WARC-Type", "response"), ("WARC-Record-ID", own), *page, digest, kind]
         if len(block) <= segment:
             yield record(first, block)
             return
         yield record([*first, ("WARC-Segment-Number", 1)], block[:segment])
-        for number, at in enumerate(range(segment, len(block), segment), 2):
+        for number, start in enumerate(range(segment, len(block), segment), 2):
             headers = [
                 ("WARC-Type", "continuation"), ("WARC-Record-ID", f"<urn:uuid:{uuid.uuid4()}>"), *page,
                 ("WARC-Segment-Origin-ID", own), ("WARC-Segment-Number", number),
             ]
-            if at + segment >= len(block):
+            if start + segment >= len(block):
                 headers.append(("WARC-Segment-Total-Length", len(block)))
-            yield record(headers, block[at : at + segment])
+            yield record(headers, block[start : start + segment])
 
     def batches(rows):
         for batch in rows:
@@ -126,55 +217,63 @@ def written(pages: DataFrame, folder: str, least: int = LEAST, segment: int = SE
     made.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", per_file).text(folder)
 
 
-def read(spark: SparkSession, folder: str, with_payload: bool = False) -> DataFrame:
-    """A row per response or revisit of the archives: page_id, payload_bytes, payload_digest,
-    record_type, refers_to (and payload). A missing segment, a wrong total length, a broken
-    chunk or a wrong digest fails the read. A revisit's payload is that of its response."""
+def read(spark: SparkSession, folder: str, with_payload: bool = False, strict: bool = True) -> DataFrame:
+    """A row per response or revisit of the archives: page_id, payload_bytes, payload_digest
+    (SHA-1 in hex), record_type, refers_to, uri (and payload). A missing segment, a wrong total
+    length, a broken chunk or a wrong digest fails the read. A revisit's payload is that of the
+    response it refers to; if the archives lack that, the read fails, or with ``strict`` off the
+    revisit has no payload. Records of other types are skipped. A response or revisit
+    without ``WARC-Page`` is of another writer and has null page ids."""
     files = spark.read.format("binaryFile").load(folder).select("content")
-    schema = (
-        "origin string, number int, total long, block binary, page_id long, payload_bytes long,"
-        " payload_digest string, record_type string, refers_to long, payload binary"
-    )
-    names = [c.strip().split(" ")[0] for c in schema.split(",")]
-    kinds = [
-        pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(),
-        pa.binary(),
-    ]
+    kinds = {
+        "origin": pa.string(), "number": pa.int32(), "total": pa.int64(), "block": pa.binary(), "record": pa.string(), "refers_record": pa.string(),
+        "page_id": pa.int64(), "payload_bytes": pa.int64(), "payload_digest": pa.string(), "record_type": pa.string(), "refers_to": pa.int64(),
+        "uri": pa.string(), "payload": pa.binary(),
+    }
+    said = {pa.string(): "string", pa.int32(): "int", pa.int64(): "long", pa.binary(): "binary"}
+    schema = ", ".join(f"{n} {said[k]}" for n, k in kinds.items())
 
     def page(text: str | None) -> int | None:
         digits = (text or "")[len("<urn:page:") : -1]
         return int(digits) if digits else None
 
-    def opened(block: bytes, digest: str) -> tuple:
-        payload = unchunked(block[block.index(b"\r\n\r\n") + 4 :])
-        if hashlib.sha1(payload).hexdigest() != digest:
-            raise ValueError(f"payload digest is not {digest}")
-        return len(payload), payload if with_payload else None
+    def opened(row: dict, block: bytes, digest: str) -> dict:
+        payload = payload_of(block)
+        if not matches(payload, digest):
+            raise ValueError(f"payload digest of {row['record']} is not {digest}")
+        row |= {"payload_bytes": len(payload), "payload_digest": hashlib.sha1(payload).hexdigest()}
+        return row | {"payload": payload} if with_payload else row
 
     def table_of(rows: list[dict]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], k) for n, k in zip(names, kinds)], names)
+        return pa.RecordBatch.from_arrays([pa.array([r.get(n) for r in rows], k) for n, k in kinds.items()], list(kinds))
 
     def segments(rows):
         for batch in rows:
             for archive in batch.column(0):
-                found = []
-                for headers, block in parsed(zlib.decompress(archive.as_py(), 47)):
-                    row = {
-                        "page_id": page(headers["WARC-Page"]),
-                        "record_type": headers["WARC-Type"],
-                        "payload_digest": headers.get("WARC-Payload-Digest", "")[len("sha1:") :],
-                        "refers_to": page(headers.get("WARC-Refers-To-Page")),
-                    }
-                    if "WARC-Segment-Number" in headers:
+                found, held = [], 0
+                for headers, block in parsed(archive.as_py()):
+                    kind, digest = headers.get("warc-type"), headers.get("warc-payload-digest", "")
+                    if kind not in ("response", "revisit", "continuation"):
+                        continue
+                    row = {"page_id": page(headers.get("warc-page")), "record_type": kind, "uri": headers.get("warc-target-uri"), "record": headers["warc-record-id"]}
+                    if "warc-segment-number" in headers:
                         row |= {
-                            "origin": headers.get("WARC-Segment-Origin-ID", headers["WARC-Record-ID"]),
-                            "number": int(headers["WARC-Segment-Number"]),
-                            "total": int(headers.get("WARC-Segment-Total-Length", -1)),
-                            "block": block,
+                            "origin": headers.get("warc-segment-origin-id", headers["warc-record-id"]),
+                            "number": int(headers["warc-segment-number"]),
+                            "total": int(headers.get("warc-segment-total-length", -1)),
+                            "block": block, "payload_digest": digest,
                         }
-                    elif row["record_type"] == "response":
-                        row["payload_bytes"], row["payload"] = opened(block, row["payload_digest"])
+                    elif kind == "response":
+                        row = opened(row, block, digest)
+                    else:
+                        value = digest.partition(":")[2]
+                        own = value.lower() if len(value) == 40 else base64.b32decode(value.upper()).hex() if len(value) == 32 else None
+                        row |= {"refers_to": page(headers.get("warc-refers-to-page")), "refers_record": headers.get("warc-refers-to"), "payload_digest": own}
                     found.append(row)
+                    held += len(block)
+                    if held > 4_000_000:
+                        yield table_of(found)
+                        found, held = [], 0
                 yield table_of(found)
 
     def reassembled(rows):
@@ -184,32 +283,33 @@ def read(spark: SparkSession, folder: str, with_payload: bool = False) -> DataFr
                 block = b"".join(p["block"] for p in parts)
                 if [p["number"] for p in parts] != list(range(1, len(parts) + 1)) or parts[-1]["total"] != len(block):
                     raise ValueError(f"segments of page {parts[0]['page_id']} are not complete")
-                row = {n: parts[0][n] for n in ("page_id", "payload_digest")} | {"record_type": "response"}
-                row["payload_bytes"], row["payload"] = opened(block, row["payload_digest"])
-                yield table_of([row])
+                row = {n: parts[0][n] for n in ("page_id", "uri", "record")} | {"record_type": "response"}
+                yield table_of([opened(row, block, parts[0]["payload_digest"] or "")])
 
     found = stored(files.mapInArrow(segments, schema), "records")
     # A group is one record, so no larger than a page.
-    part = F.struct("number", "total", "block", "page_id", "payload_digest")
+    part = F.struct("number", "total", "block", "page_id", "uri", "record", "payload_digest")
     parts = found.filter("origin IS NOT NULL").groupBy("origin").agg(F.collect_list(part).alias("parts"))
     whole = parts.select("parts").mapInArrow(reassembled, schema)
-    result = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", *(["payload"] if with_payload else [])]
-    complete = found.filter("origin IS NULL").select(result).unionByName(whole.select(result))
-    complete = stored(complete, "responses")
+    columns = ["record", "refers_record", "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "uri", *(["payload"] if with_payload else [])]
+    complete = stored(found.filter("origin IS NULL").select(columns).unionByName(whole.select(columns)), "responses")
     revisits, responses = complete.filter("record_type = 'revisit'"), complete.filter("record_type = 'response'")
-    # One response a page and digest; repeated rows of a page are equal here.
-    sizes = responses.groupBy(F.col("page_id").alias("refers_to"), "payload_digest").agg(
-        F.max("payload_bytes").alias("payload_bytes"), *([F.max("payload").alias("payload")] if with_payload else [])
-    )
-    resolved = revisits.drop("payload_bytes", "payload").join(sizes, ["refers_to", "payload_digest"], "left")
-    return responses.select(result).unionByName(resolved.select(result))
+    # One response a record: what very many revisits refer to is a skewed key, which the adaptive planner splits.
+    kept = {"payload_bytes": "_bytes", "payload_digest": "_digest"} | ({"payload": "_payload"} if with_payload else {})
+    known = responses.select(F.col("record").alias("refers_record"), *(F.col(c).alias(n) for c, n in kept.items()))
+    joined = revisits.join(known, "refers_record", "left")
+    if strict:
+        lost = F.concat(F.lit("no response for revisit "), "record")
+        joined = joined.withColumn("_bytes", F.when(F.col("_digest").isNull(), F.raise_error(lost)).otherwise(F.col("_bytes")))
+    filled = {"payload_bytes": F.col("_bytes"), "payload_digest": F.coalesce("_digest", "payload_digest")} | ({"payload": F.col("_payload")} if with_payload else {})
+    return responses.select(columns[2:]).unionByName(joined.select(*(filled.get(c, F.col(c)).alias(c) for c in columns[2:])))
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages, written as archives and read back."""
     folder = f"{shared_folder(spark)}/archives-{uuid.uuid4().hex}"
     written(table(spark, sf_dir, "pages"), folder)
-    return read(spark, folder)
+    return read(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 by_value(__name__)

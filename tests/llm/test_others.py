@@ -228,6 +228,58 @@ def test_a_missing_segment_fails(spark, tmp_path):
         warc.read(spark, folder).collect()
 
 
+def test_archives_of_other_writers(spark, tmp_path):
+    """A member a record, other record types, plain framing, base-32 digests, odd header lines."""
+    import base64
+    import gzip
+
+    def made(kind, block, *more):
+        return "\r\n".join(["WARC/1.0", f"warc-type:{kind}", *more, f"Content-Length: {len(block)}", "", ""]).encode() + block + b"\r\n\r\n"
+
+    http, body = b"HTTP/1.1 200 OK\r\nServer: x\r\n\r\n", b"plain body \r\n\r\n WARC/1.0"
+    digest = "sha1:" + base64.b32encode(hashlib.sha1(body).digest()).decode()
+    records = [
+        made("warcinfo", b"software: x\r\n", "WARC-Record-ID: <a>"),
+        made("request", b"GET / HTTP/1.1\r\n\r\n", "WARC-Record-ID: <b>"),
+        made("response", http + body, "WARC-Record-ID: <c>", "WARC-Target-URI: http://a.example/", "X-Folded: one", "\ttwo", f"WARC-Payload-Digest: {digest}"),
+        made("response", b"HTTP/1.1 200 OK\r\ntransfer-encoding:  Chunked\r\n\r\n" + warc.chunked(body, 5), "WARC-Record-ID: <d>", "WARC-Target-URI: u2"),
+        made("revisit", http, "WARC-Record-ID: <e>", "WARC-Target-URI: u3", "WARC-Refers-To: <c>", f"WARC-Payload-Digest: {digest}"),
+    ]
+    (tmp_path / "w").mkdir()
+    (tmp_path / "w" / "many.warc.gz").write_bytes(b"".join(map(gzip.compress, records)))
+    (tmp_path / "w" / "one.warc.gz").write_bytes(gzip.compress(b"".join(records[:3]).replace(b"<c>", b"<f>")))
+    (tmp_path / "w" / "plain.warc").write_bytes(b"".join(records[2:4]).replace(b"<c>", b"<g>").replace(b"<d>", b"<h>"))
+    found = warc.read(spark, str(tmp_path / "w"), with_payload=True).collect()
+    assert Counter(r.uri for r in found) == {"http://a.example/": 3, "u2": 2, "u3": 1}
+    assert all(bytes(r.payload) == body and r.page_id is None and r.payload_digest == hashlib.sha1(body).hexdigest() for r in found)
+    (tmp_path / "v").mkdir()
+    (tmp_path / "v" / "lost.warc.gz").write_bytes(gzip.compress(records[4]))
+    with pytest.raises(Exception, match="no response"):
+        warc.read(spark, str(tmp_path / "v")).collect()
+    (lost,) = warc.read(spark, str(tmp_path / "v"), strict=False).collect()
+    assert lost.payload_bytes is None and lost.payload_digest == hashlib.sha1(body).hexdigest()
+    for cut in (gzip.compress(records[2])[:-9], records[2][:-30], records[2][:40]):
+        with pytest.raises(ValueError, match="cut off"):
+            list(warc.parsed(cut))
+
+
+def test_records_have_what_the_format_asks(spark, tmp_path):
+    import glob
+
+    rows = [(1, "https://a.example/1", "x" * 3000), (2, "https://a.example/2", "x" * 3000), (3, "u", "y")]
+    folder = str(tmp_path / "archives")
+    warc.written(spark.createDataFrame(rows, "page_id long, url string, html string"), folder, segment=1000)
+    records = [h for f in glob.glob(f"{folder}/*.gz") for h, _ in warc.parsed(open(f, "rb").read())]
+    ids = {h["warc-record-id"] for h in records}
+    assert len(ids) == len(records)
+    for h in records:
+        assert {"warc-type", "warc-record-id", "warc-date", "content-length", "warc-target-uri"} <= h.keys()
+        if h["warc-type"] == "revisit":
+            assert h["warc-profile"] == warc.PROFILE and h["warc-refers-to"] in ids
+        elif h["warc-type"] == "response":
+            assert h["content-type"].startswith("application/http")
+
+
 @pytest.mark.parametrize("size", [0, 1, 4095, 4096, 4097, 20_000])
 def test_chunks(size):
     payload = bytes(i * 31 % 256 for i in range(size))
