@@ -22,8 +22,10 @@ from lotwise.llm.common import broadcast_if_small, by_value, stored, table
 SEPARATORS = r"[\x00-\x40\x5B-\x60\x7B-\x7F]+"
 #: Documents of a language that hold a kept term, added count, scale of a rate, terms listed per group.
 LEAST_DOCS, ADDED, SCALE, TOP = 30, 5, 1_000_000_000, 50
-#: Bytes of text that are split at once, partial counts held by a task, cells of a shard, sources of a block.
-SLICE, PARTIAL, CELLS, BLOCK = 4_000_000, 200_000, 1_000_000, 256
+#: Bytes of text that are split at once, partial counts held by a task, sources of a block.
+SLICE, PARTIAL, BLOCK = 4_000_000, 200_000, 256
+#: Cells (terms times sources) of a shard, at least: and four for each pair of sources, of which a shard returns a row.
+CELLS = 20_000
 #: Groups (language and source) up to which their totals are broadcast.
 BROADCAST_GROUPS = 100_000
 
@@ -148,7 +150,8 @@ def group_totals(docs: DataFrame, kept: DataFrame) -> DataFrame:
     langs = widths.join(langs, "lang", "left").na.fill(0, ["terms", "lang_total"])
     joined = present.join(totals, ["lang", "source"], "left").na.fill(0, ["total"]).join(langs, "lang")
     none = F.when(F.col("terms") > 0, _rate("0", "total", "terms")).otherwise(0)
-    shards = F.greatest(F.lit(1), F.ceil(F.col("terms") * F.least("_width", F.lit(2 * BLOCK)) / CELLS)).cast("int")
+    width = F.least("_width", F.lit(2 * BLOCK))
+    shards = F.greatest(F.lit(1), F.ceil(F.col("terms") * width / F.greatest(F.lit(CELLS), 4 * width * width))).cast("int")
     return joined.select(
         "lang", "source", "total", "terms", "lang_total", none.alias("none"), shards.alias("shards"),
         F.ceil(F.col("_width") / BLOCK).cast("int").alias("blocks"),
