@@ -22,6 +22,7 @@ from __future__ import annotations
 import base64
 import heapq
 import re
+import struct
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,7 +31,7 @@ from lotwise.llm.common import by_value, per_worker
 
 # The characters with the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0  -     　"
-LEAF = 256
+LEAF = 512
 #: Bytes of a match that are merged as they are.
 SHORT_MATCH = 16
 #: Segments kept per worker process (about 80 MB).
@@ -161,7 +162,7 @@ class TreeEncoder(dict):
         ids = []
         for match in self.pattern.findall(segment):
             ids += self._piece(match.encode())
-        return np.array(ids, "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece(self, data: bytes) -> list[int]:
         """One match: halves by themselves, joined by windows of tokens."""
@@ -194,14 +195,21 @@ class TreeEncoder(dict):
         """The definition: merge the leftmost pair of the lowest rank until none is left."""
         if len(data) > 64:
             return self._merge_long(data)
+        rank_of, none = self.ranks.get, len(self.ranks) + 1
         parts = [data[i : i + 1] for i in range(len(data))]
-        none = len(self.ranks) + 1
-        while len(parts) > 1:
-            found = [self.ranks.get(a + b, none) for a, b in zip(parts, parts[1:])]
-            at = min(range(len(found)), key=found.__getitem__)
-            if found[at] == none:
+        found = [rank_of(a + b, none) for a, b in zip(parts, parts[1:])]
+        while found:
+            least = min(found)
+            if least == none:
                 break
+            at = found.index(least)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del found[at]
+            # Only the pairs beside the merged one are new.
+            if at < len(found):
+                found[at] = rank_of(parts[at] + parts[at + 1], none)
+            if at:
+                found[at - 1] = rank_of(parts[at - 1] + parts[at], none)
         return [self.ranks[p] for p in parts]
 
     def _merge_long(self, data: bytes) -> list[int]:
