@@ -34,7 +34,7 @@ WHITE = "\t-\r \x85\xa0  -     　"
 LEAF = 512
 #: Bytes of a match that are merged as they are.
 SHORT_MATCH = 16
-#: Segments kept per worker process (about 80 MB).
+#: Segments kept per worker process (about 80 MB), and as many matches.
 CACHE = 400_000
 
 _REPEATED = re.compile(f"[{WHITE}] ")
@@ -82,6 +82,8 @@ class TreeEncoder(dict):
 
             self.base = tiktoken.Encoding("leaf", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
         self.pairs: dict[tuple[int, int], bool] = {}
+        #: Ids of matches: a word is one whatever stands beside it in its segment.
+        self.matches: dict[str, list[int]] = {}
         #: Joins of neighbours so far: of parts, and of halves of a match.
         self.joins, self.halves = 0, 0
 
@@ -161,7 +163,12 @@ class TreeEncoder(dict):
             return np.array(self.base.encode_ordinary(segment), "<u4").tobytes()
         ids = []
         for match in self.pattern.findall(segment):
-            ids += self._piece(match.encode())
+            known = self.matches.get(match)
+            if known is None:
+                known = self._piece(match.encode())
+                if len(self.matches) < CACHE and len(match) < 64:
+                    self.matches[match] = known
+            ids += known
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _piece(self, data: bytes) -> list[int]:
