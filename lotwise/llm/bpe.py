@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.llm.common import by_value, table, with_fields
-from lotwise.llm.tokens import TreeEncoder
+from lotwise.llm.tokens import TreeEncoder, joined
 
 
 def vocabulary_path(name: str = "byte_bpe_multi_50k.tiktoken") -> str:
@@ -48,14 +48,12 @@ def digests(docs: DataFrame, text: str = "text", ranks: str | None = None, patte
     the decimal ids joined by commas) and decoded_sha256, made in the tasks that encode."""
 
     def run(encoder, batch):
-        written = {i: str(i) for i in encoder.vocabulary} if not hasattr(encoder, "written") else encoder.written
-        encoder.written = written
         texts = batch.column(batch.schema.get_field_index(text)).to_pylist()
         counts, ids_sha, decoded_sha = [], [], []
         for t in texts:
             ids = np.frombuffer(encoder.encode(t or ""), "<u4")
             counts.append(len(ids))
-            ids_sha.append(hashlib.sha256(",".join(map(written.__getitem__, ids.tolist())).encode()).hexdigest())
+            ids_sha.append(hashlib.sha256(joined(encoder.written_ids, ids)[:-1]).hexdigest())
             decoded_sha.append(hashlib.sha256(encoder.decode(ids)).hexdigest())
         others = [n for n in batch.schema.names if n != text]
         made = [pa.array(counts, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())]

@@ -12,7 +12,9 @@ associative, and the empty part changes nothing.
 A match is encoded the same way, by bytes: halves by themselves, joined by a window that grows
 by tokens until the outermost token of the window and its outer neighbour encode, as a pair,
 to themselves. A sequence of tokens is the BPE of its bytes if each pair of neighbours is, so
-the joined sequence is proven.
+the joined sequence is proven. A short match is laid out by the same rule: the longest token
+at a place that its left neighbour is stable with, and a shorter one where no token fits
+after it. What two tokens encode to is found by merging, once for each pair.
 
 Decoding concatenates the tokens' bytes up the same tree.
 """
@@ -26,16 +28,19 @@ import struct
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 
 from lotwise.llm.common import by_value, per_worker
 
 # The characters with the Unicode property White_Space.
 WHITE = "\t-\r \x85\xa0  -     　"
 LEAF = 512
-#: Bytes of a match that are merged as they are.
+#: Bytes of a match that is laid out as it is.
 SHORT_MATCH = 16
-#: Segments kept per worker process (about 80 MB), and as many matches.
-CACHE = 400_000
+#: Segments kept per worker process (about 120 MB), and as many matches.
+CACHE = 600_000
+#: Pairs of tokens kept (about 50 MB).
+PAIRS = 400_000
 
 _REPEATED = re.compile(f"[{WHITE}] ")
 _SEGMENT = re.compile(f"[{WHITE}]*[^{WHITE}]+|[{WHITE}]+")
@@ -55,6 +60,18 @@ class Part:
     right: str = ""
 
 
+def joined(written: pa.Array, ids: np.ndarray) -> bytes:
+    """What is written for the ids, one after the other."""
+    found = written.take(pa.array(ids))
+    if found.null_count:
+        raise KeyError("an id that the vocabulary does not have")
+    _, ends, data = found.buffers()
+    if data is None:
+        return b""
+    start, stop = np.frombuffer(ends, np.int32)[[found.offset, found.offset + len(found)]].tolist()
+    return data.slice(start, stop - start).to_pybytes()
+
+
 class TreeEncoder(dict):
     """Encoder for one vocabulary of ranks. As a dict it maps what follows a space up to the
     next space to that segment's ids as little-endian unsigned 32-bit bytes. With ``library``,
@@ -73,6 +90,10 @@ class TreeEncoder(dict):
         self.vocabulary = {rank: token for token, rank in self.ranks.items()}
         self.special = special or {}
         self.vocabulary |= {rank: token.encode() for token, rank in self.special.items()}
+        known = [self.vocabulary.get(i) for i in range(max(self.vocabulary) + 1)]
+        #: What each id stands for, and its decimal digits with a comma after them.
+        self.written_bytes = pa.array(known, pa.binary())
+        self.written_ids = pa.array([f"{i}," if token is not None else None for i, token in enumerate(known)], pa.binary())
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pattern = regex.compile(pattern)
         self.leaf, self.short_match = max(2, leaf), max(2, short_match)
@@ -82,8 +103,19 @@ class TreeEncoder(dict):
 
             self.base = tiktoken.Encoding("leaf", pat_str=pattern, mergeable_ranks=self.ranks, special_tokens={})
         self.pairs: dict[tuple[int, int], bool] = {}
+        #: The most bytes of a token, by its first four bytes; those without a key have three at most.
+        self.longest: dict[bytes, int] = {}
+        for token in self.ranks:
+            self.longest[token[:4]] = max(len(token), self.longest.get(token[:4], 3))
+        self.size = {rank: len(token) for token, rank in self.ranks.items()}
+        #: By token, the longest other one that it begins with.
+        self.shorter: dict[int, int] = {}
+        for token, rank in self.ranks.items():
+            known = next((r for n in range(len(token) - 1, 0, -1) if (r := self.ranks.get(token[:n])) is not None), None)
+            if known is not None:
+                self.shorter[rank] = known
         #: Ids of matches: a word is one whatever stands beside it in its segment.
-        self.matches: dict[str, list[int]] = {}
+        self.matches: dict[str, bytes] = {}
         #: Joins of neighbours so far: of parts, and of halves of a match.
         self.joins, self.halves = 0, 0
 
@@ -143,8 +175,9 @@ class TreeEncoder(dict):
 
     def decode(self, ids: np.ndarray) -> bytes:
         """Bytes of the ids; halves are decoded by themselves and concatenated."""
-        if len(ids) <= self.leaf:
-            return b"".join(map(self.vocabulary.__getitem__, ids.tolist()))
+        # A part has a fixed cost here, so that leaves are larger.
+        if len(ids) <= 16 * self.leaf:
+            return joined(self.written_bytes, ids)
         half = len(ids) // 2
         return self.decode(ids[:half]) + self.decode(ids[half:])
 
@@ -161,22 +194,24 @@ class TreeEncoder(dict):
             return b""
         if self.base is not None and len(segment) < 64:
             return np.array(self.base.encode_ordinary(segment), "<u4").tobytes()
-        ids = []
-        for match in self.pattern.findall(segment):
-            known = self.matches.get(match)
-            if known is None:
-                known = self._piece(match.encode())
-                if len(self.matches) < CACHE and len(match) < 64:
-                    self.matches[match] = known
-            ids += known
-        return struct.pack(f"<{len(ids)}I", *ids)
+        found = self.pattern.findall(segment)
+        return self._match(found[0]) if len(found) == 1 else b"".join(map(self._match, found))
+
+    def _match(self, match: str) -> bytes:
+        known = self.matches.get(match)
+        if known is None:
+            ids = self._piece(match.encode())
+            known = struct.pack(f"<{len(ids)}I", *ids)
+            if len(self.matches) < CACHE and len(match) < 64:
+                self.matches[match] = known
+        return known
 
     def _piece(self, data: bytes) -> list[int]:
         """One match: halves by themselves, joined by windows of tokens."""
         if data in self.ranks:
             return [self.ranks[data]]
         if len(data) <= self.short_match:
-            return self._merge(data)
+            return self._laid(data)
         self.halves += 1
         half = len(data) // 2
         left, right = self._piece(data[:half]), self._piece(data[half:])
@@ -190,10 +225,43 @@ class TreeEncoder(dict):
                 return left[:a] + middle + right[b:]
             k *= 2
 
+    def _laid(self, data: bytes) -> list[int]:
+        """Tokens from left to right, each the longest that is stable beside the one before. A
+        place that none can follow is never come to again: the tokens up to a place, each pair
+        stable, are its only ones, so every place is tried once."""
+        rank_of, pairs, longest, shorter, size = self.ranks.get, self.pairs, self.longest, self.shorter, self.size
+        ids, dead = [], set()
+        at, last, n = 0, None, len(data)
+        while at < n:
+            stop = at + longest.get(data[at : at + 4], 3)
+            if stop > n:
+                stop = n
+            token = rank_of(data[at:stop])
+            while token is None:
+                stop -= 1
+                token = rank_of(data[at:stop])
+            while token is not None:
+                if not dead or at + size[token] not in dead:
+                    if last is None:
+                        break
+                    known = pairs.get((last, token))
+                    if known or (known is None and self._stable(last, token)):
+                        break
+                token = shorter.get(token)
+            if token is not None:
+                ids.append(token)
+                at += size[token]
+                last = token
+            else:
+                dead.add(at)
+                at -= size[ids.pop()]
+                last = ids[-1] if ids else None
+        return ids
+
     def _stable(self, a: int, b: int) -> bool:
         """Whether the tokens, side by side, encode to themselves."""
         if (a, b) not in self.pairs:
-            if len(self.pairs) > CACHE:
+            if len(self.pairs) > PAIRS:
                 self.pairs.clear()
             self.pairs[a, b] = self._merge(self.vocabulary[a] + self.vocabulary[b]) == [a, b]
         return self.pairs[a, b]

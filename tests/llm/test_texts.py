@@ -47,6 +47,15 @@ def test_tree_encoding_is_that_of_the_library(multi):
             assert tree.decode(ids) == text.encode()
 
 
+def test_stable_neighbours_are_the_merged_ones():
+    """Tokens laid out by stable pairs against the definition, without the split pattern."""
+    tree, rnd = TreeEncoder(bpe.vocabulary_path(), bpe.split_pattern()), random.Random(3)
+    for _ in range(4000):
+        n = rnd.randint(1, 24)
+        data = bytes(rnd.choices(rnd.choice((b"aehinorst ", b" aAeE\n-", bytes(range(256)))), k=n))
+        assert tree._laid(data) == tree._merge(data), data
+
+
 @pytest.mark.parametrize("text", ["a" * 30_000, "ab" * 9_000 + "  " * 5_000, "中文" * 6_000, " " * 20_000 + "x", "!?" * 8_000])
 def test_long_runs_without_a_gap(multi, text):
     tree = TreeEncoder(bpe.vocabulary_path(), bpe.split_pattern())
