@@ -1,5 +1,5 @@
-"""Keep one row per key. All are one shuffle with a map-side partial stage, so a key that
-holds a large part of the rows still sends one row per task.
+"""Keep one row per key. All have a map-side partial stage before the shuffle on the key, so a
+key that holds a large part of the rows still sends one row per task.
 """
 
 from __future__ import annotations
@@ -10,6 +10,20 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def near_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of a key brought together before its aggregate.
+
+    The partial stage of an aggregate that holds text sorts its rows. Rows as they were read
+    are as many as a file split holds, which goes to disk, and with keys all over the splits
+    the stage leaves most of them. After this shuffle a task has what fits its memory, with
+    few keys and all their rows. It is a rebalance, whose partitions may be cut: the shuffle
+    on the key itself follows the partial stage, so a frequent key is spread.
+    """
+    # Not the key itself: equal keys would then count as being in one task, and none be cut.
+    spread = df.withColumn("_near", F.hash(*keys))
+    return spread.hint("rebalance", "_near").drop("_near")
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Whole row with the greatest ``order`` columns per key; equal ones are decided by
     the remaining columns, so the result does not depend on row order."""

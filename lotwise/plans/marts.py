@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotwise.operators.latest import latest_per_key
+from lotwise.operators.latest import latest_per_key, near_keys
 from lotwise.plans.staging import normalize_prices
 from lotwise.schemas import OBSERVATION_COLUMNS
 
@@ -38,9 +38,8 @@ def fct_offer_observations(observations: DataFrame) -> DataFrame:
 
 def latest_state(observations: DataFrame) -> DataFrame:
     """Newest observation per offer, whole, so a NULL price of it stays NULL."""
-    return latest_per_key(
-        observations.select(*OBSERVATION_COLUMNS), ["source_offer_id"], ["observed_at", "scrape_run_id"]
-    )
+    rows = near_keys(observations.select(*OBSERVATION_COLUMNS), ["source_offer_id"])
+    return latest_per_key(rows, ["source_offer_id"], ["observed_at", "scrape_run_id"])
 
 
 def offer_history(observations: DataFrame) -> DataFrame:
@@ -52,11 +51,12 @@ def offer_history(observations: DataFrame) -> DataFrame:
 
 
 def offers(observations: DataFrame) -> DataFrame:
-    """``latest_state`` and ``offer_history`` in one pass over the observations: one
-    shuffle, of one row per offer and task."""
+    """``latest_state`` and ``offer_history`` in one pass over the observations. Readers of
+    some columns only share the shuffle of the rows, which has them all."""
     newest = F.max(F.struct("observed_at", "scrape_run_id", *OFFER_ATTRIBUTES))
     return (
-        observations.groupBy("source_offer_id")
+        near_keys(observations.select(*OBSERVATION_COLUMNS), ["source_offer_id"])
+        .groupBy("source_offer_id")
         .agg(
             newest.alias("newest"),
             F.min("observed_at").alias("first_observed_at"),
