@@ -52,8 +52,9 @@ PAGE_JSON = (
 def page_json(html: Column) -> Column:
     """Text of the page's first script with the data id; NULL if there is none."""
     # The match holds the end of the tag, so that an empty script is not taken for none.
-    found = F.regexp_extract(html, PAGE_JSON, 2)
-    return F.when(found != "", F.substr(found, F.lit(2)))
+    # Said once: the condition and the value of a ``when`` would each match the whole page.
+    found = F.nullif(F.regexp_extract(html, PAGE_JSON, 2), F.lit(""))
+    return F.substr(found, F.lit(2))
 
 
 def extract_page_json(pages: DataFrame, html_col: str = "html") -> DataFrame:
@@ -101,15 +102,15 @@ def parse_pages(
         advert.alias("advert"),
         *[parameter(entries[name]).alias(f"p_{name}") for name in names],
     )
-    # Most pages have all parameters, which shows that these are well formed.
+    # A parameter that is there is well formed. Of the others few are on most pages.
     some_absent = F.greatest(*[F.col(f"p_{name}").isNull() for name in names])
-    found_entries = F.array(*[F.col(f"advert.parametersDict.{name}") for name in names])
+    unread = F.array(*[F.when(F.col(f"p_{name}").isNull(), F.col(f"advert.parametersDict.{name}")) for name in names])
     typed = fields.withColumns(
         {
             "year": to_int(F.col("p_year")["value"]),
             "mileage_km": to_int(F.col("p_mileage")["value"]),
             "price_amount": to_float(F.col("advert.price")["value"]),
-            "malformed": F.when(some_absent, F.exists(found_entries, _malformed)).otherwise(F.lit(False)),
+            "malformed": F.when(some_absent, F.exists(unread, _malformed)).otherwise(F.lit(False)),
         }
     )
 

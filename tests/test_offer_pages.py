@@ -183,3 +183,10 @@ def test_data_before_a_cut_off_tag_is_found(spark):
     rows = spark.createDataFrame(list(enumerate(pages)), "i int, html string")
     found = [r.page_json for r in extract_page_json(rows).orderBy("i").collect()]
     assert found == ['{"a":1}', '{"a":1}', None, None]
+
+
+def test_a_page_is_matched_once(spark):
+    pages = spark.createDataFrame([("<script id='__NEXT_DATA__'></script>",), ("<p>",), (None,)], "html string")
+    found = extract_page_json(pages)
+    assert [row.page_json for row in found.collect()] == ["", None, None]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract(") == 1
