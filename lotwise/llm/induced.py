@@ -94,10 +94,10 @@ def _kinds(text: np.ndarray) -> np.ndarray:
     """True for suffixes smaller than the one after them (S)."""
     n = len(text)
     differs = np.flatnonzero(text[:-1] != text[1:])
-    place = np.searchsorted(differs, np.arange(n - 1))
-    decided = differs[np.minimum(place, len(differs) - 1)]
+    # All places up to a change are decided by it; the last character, once only, is one.
+    runs = np.diff(differs, prepend=-1)
     small = np.ones(n, bool)
-    small[:-1] = text[decided] < text[decided + 1]
+    small[:-1] = np.repeat(text[differs] < text[differs + 1], runs)
     return small
 
 
@@ -112,10 +112,13 @@ class _Range:
 
     def least(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         out = np.empty(len(first), self.levels[0].dtype)
-        level = np.frexp((last - first + 1).astype(float))[1] - 1
-        for k in np.unique(level):
-            own = level == k
-            out[own] = np.minimum(self.levels[k][first[own]], self.levels[k][last[own] - (1 << int(k)) + 1])
+        level = (np.frexp((last - first + 1).astype(np.float32))[1] - 1).astype(np.uint8)
+        order = np.argsort(level, kind="stable")
+        ends = np.cumsum(np.bincount(level)).tolist()
+        for k, (a, b) in enumerate(zip([0, *ends], ends)):
+            if a < b:
+                own = order[a:b]
+                out[own] = np.minimum(self.levels[k][first[own]], self.levels[k][last[own] - (1 << k) + 1])
         return out
 
 

@@ -32,8 +32,9 @@ SPAN, GRAM = 100, 32
 CHUNK = 1 << 19
 #: Counters of grams, and the share of documents from which on a gram is common.
 COUNTERS, COMMON = 1 << 22, 0.005
-#: Bytes of regions sorted together, if their anchors allow it.
-SHARD = 4_000_000
+#: Bytes of regions sorted together, if their anchors allow it. Sorting takes some 70 bytes for
+#: each of them, in every task of an executor at once.
+SHARD = 1_500_000
 
 _PLACE = np.uint64((1 << 20) - 1)
 
@@ -70,8 +71,8 @@ def _joined(parts):
 
 
 def grams_of(hashes: Hashes, n: int) -> np.ndarray:
-    at = np.arange(n - GRAM + 1)
-    return mixed(hashes.of(at, at + GRAM))
+    """Hashes of all grams of the ``n`` bytes, in order."""
+    return mixed((hashes.sums[GRAM : n + 1] - hashes.sums[: n - GRAM + 1]) * hashes.power[: n - GRAM + 1])
 
 
 def _least(values: np.ndarray, width: int) -> np.ndarray:
@@ -117,24 +118,28 @@ def removed_in(shard: list[tuple[int, bytes]]) -> list[tuple[int, int, int]]:
     """(region, start, stop) of what repeats among regions, given in the order of their
     documents as (start in the document, bytes): of equal windows the first one stays."""
     lengths = np.array([len(b) for _, b in shard])
-    joined = np.frombuffer(b"".join(b + b"\0" for _, b in shard), np.uint8).astype(np.int64) + 2
+    # Letters of two bytes: numpy sorts these by digits.
+    joined = np.zeros(int(lengths.sum()) + len(shard) + 1, np.uint16)
+    joined[:-1] = np.frombuffer(b"".join(b + b"\0" for _, b in shard), np.uint8)
+    joined[:-1] += 2
     ends = np.cumsum(lengths + 1) - 1
     joined[ends] = 1
-    places, common = suffix_order(np.append(joined, 0), SPAN)
-    region = np.searchsorted(ends, places)
+    places, common = suffix_order(joined, SPAN)
+    # The region of every place; the last place is in none.
+    region = np.repeat(np.arange(len(ends) + 1, dtype=np.int32), np.append(lengths + 1, 1))[places]
     starts = ends - lengths
     inside = np.minimum(region, len(ends) - 1)
     whole = (region < len(ends)) & (places + SPAN <= ends[inside])
     linked = common >= SPAN
     # Runs of suffixes that share a window; those that are none of a region break runs anyway.
-    run = np.cumsum(~linked)
-    places, region, run = places[whole], region[whole], run[whole]
-    own = np.array([s for s, _ in shard])[region] + places - starts[region]
-    order = np.lexsort((own, region, run))
-    later = order[1:][run[order[1:]] == run[order[:-1]]]
-    region, own = region[later], own[later]
-    order = np.lexsort((own, region))
-    region, own = region[order], own[order]
+    run = np.cumsum(~linked)[whole]
+    # Regions lie in their order, so places tell which window of a run comes first.
+    bits = len(joined).bit_length()
+    placed = np.sort(run << bits | places[whole])
+    later = placed[1:][placed[1:] >> bits == placed[:-1] >> bits] & ((1 << bits) - 1)
+    later.sort()
+    region = np.searchsorted(ends, later)
+    own = np.array([s for s, _ in shard])[region] + later - starts[region]
     fresh = np.ones(len(own), bool)
     fresh[1:] = (region[1:] != region[:-1]) | (own[1:] > own[:-1] + SPAN)
     first = np.flatnonzero(fresh)
@@ -163,7 +168,7 @@ def common_grams(texts: DataFrame) -> np.ndarray:
             encoded = [t.encode() for t in batch.column(0).to_pylist()]
             documents += len(encoded)
             for data, *_ in chunks(encoded):
-                held += np.bincount((grams_of(Hashes(data), len(data)) >> np.uint64(42)).astype(np.int64), minlength=COUNTERS).astype(np.int32)
+                np.add.at(held, (grams_of(Hashes(data), len(data)) >> np.uint64(42)).astype(np.int64), np.int32(1))
         most = np.flatnonzero(held >= max(8, COMMON * documents + 2 * held.mean()))
         yield pa.RecordBatch.from_arrays([pa.array(most, pa.int64()), pa.array(held[most], pa.int64())], ["counter", "held"])
 

@@ -460,3 +460,19 @@ def test_suffixes_are_in_order(monkeypatch):
             a, b = suffixes[order[i - 1]], suffixes[order[i]]
             assert a >= b
             assert common[i] == next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
+
+
+def test_a_shard_is_sorted_in_little_memory():
+    import tracemalloc
+
+    import numpy as np
+
+    from lotwise.llm import suffix_dedup
+
+    text = np.random.default_rng(5).integers(97, 123, suffix_dedup.SHARD, np.uint8).tobytes()
+    half = len(text) // 2
+    tracemalloc.start()
+    found = suffix_dedup.removed_in([(0, text[:half]), (7, text[half - 150 :])])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(1, 7, 157)] and peak < 200e6
