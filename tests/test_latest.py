@@ -37,7 +37,7 @@ def test_a_frequent_key_and_no_key_are_taken_like_others(spark):
     assert spread.count() == 8 and plain.exceptAll(spread).isEmpty()
 
 
-@pytest.mark.parametrize("name", ["c1_not_null", "c4_relationships", "c2_unique", "q3_brands"])
+@pytest.mark.parametrize("name", ["c1_not_null", "c4_relationships", "c2_unique", "q3_brands", "q8_vehicles"])
 def test_queries_of_offers_sort_no_rows_as_they_were_read(spark, name):
     from tests.conftest import SF_DIR
     from verification.queries import queries
