@@ -23,6 +23,8 @@ One node stands for all equal sets, and pairs within a known component need no c
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -45,6 +47,15 @@ SKETCH, SHORT = 1 << 16, 512
 SMALL, NODES, PAIRS = 4, 4096, 200_000
 #: Orders of nodes by which buckets choose the one that others are first compared with.
 ORDERS = 8
+#: Components that a node is compared with before it is with all others that it meets.
+NEAREST = 4
+#: Bytes of text whose sets are taken at once, pairs whose sketches are, and bytes of the
+#: longest word that is hashed together with others.
+CHUNK, COMPARED, LONG = 1 << 19, 2048, 64
+#: Letters A-Z lower-cased, every space a blank; the first 0 to 8 bytes of eight.
+PLAIN = bytes(32 if 9 <= b <= 13 else b + 32 if 65 <= b <= 90 else b for b in range(256))
+BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -54,19 +65,71 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted 64-bit hashes of a text's distinct shingles; a text of fewer words is one."""
+def _word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where the words of some text start, and their 64-bit hashes: of eight bytes at a time
+    for all words at once, of the few that have more than ``LONG`` bytes by xxhash."""
     import xxhash
 
-    parts = (text or "").encode().lower().split()
-    if not parts:
-        return np.zeros(0, np.uint64)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, parts), np.uint64, len(parts))
-    width = min(words, len(h))
+    # There is space at both ends, and eight bytes can be taken from wherever a word has one.
+    data = b" " + data.translate(PLAIN) + b" " * 8
+    gap = np.frombuffer(data, np.uint8) == 32
+    edges = np.flatnonzero(gap[1:] != gap[:-1]) + 1
+    starts, length = edges[::2], edges[1::2] - edges[::2]
+    eight = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    h = length.astype(np.uint64)
+    at = np.flatnonzero(length <= LONG)
+    for offset in range(0, LONG, 8):
+        at = at[length[at] > offset] if offset else at
+        if not len(at):
+            break
+        part = eight[starts[at] + offset] & BYTES[np.minimum(length[at] - offset, 8)]
+        h[at] = mixed(h[at] * STEP + part)
+    for i in np.flatnonzero(length > LONG):
+        h[i] = xxhash.xxh3_64_intdigest(data[starts[i] : starts[i] + length[i]])
+    return starts - 1, h
+
+
+def _combined(h: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of ``width`` words."""
     whole = np.full(len(h) - width + 1, width, np.uint64)
     for i in range(width):
-        whole = mixed(whole * np.uint64(0x9E3779B97F4A7C15) + h[i : len(h) - width + 1 + i])
-    return np.unique(whole)
+        whole *= STEP
+        whole += h[i : len(h) - width + 1 + i]
+        whole = mixed(whole)
+    return whole
+
+
+def shingle_sets(texts: list[bytes | None], words: int = WORDS) -> list[np.ndarray]:
+    """Sorted 64-bit hashes of each text's distinct shingles; a text of fewer words is one."""
+    texts = [text or b"" for text in texts]
+    starts, h = _word_hashes(b" ".join(texts))
+    ends = np.cumsum([len(text) + 1 for text in texts])
+    first = np.append(0, np.searchsorted(starts, ends)).tolist()
+    whole = _combined(h, words) if len(h) >= words else np.zeros(0, np.uint64)
+    found = []
+    for at, end in zip(first, first[1:]):
+        if end - at >= words:
+            own = whole[at : end - words + 1]
+            own.sort()
+            fresh = own[1:] != own[:-1]
+            own = own.copy() if fresh.all() else own[np.append(True, fresh)]
+        else:
+            own = _combined(h[at:end], end - at) if end > at else np.zeros(0, np.uint64)
+        found.append(own)
+    return found
+
+
+def sets_in(column: pa.Array, words: int = WORDS, size: int = CHUNK):
+    """``shingle_sets`` of a column of texts, for runs of rows that have ``size`` bytes or so."""
+    texts, held = [], 0
+    for text in column.cast(pa.binary()).to_pylist():
+        texts.append(text)
+        held += len(text or b"") + 1
+        if held >= size:
+            yield shingle_sets(texts, words)
+            texts, held = [], 0
+    if texts:
+        yield shingle_sets(texts, words)
 
 
 def node_of(elements: np.ndarray) -> int | None:
@@ -91,55 +154,111 @@ def differing(left: bytes, right: bytes) -> int:
     return int(np.bitwise_count(small ^ folded).sum())
 
 
-def bands(size: int) -> list[tuple[int, int, int]]:
-    """(band, segments, most differing elements) of each partition that a set takes part in:
-    that of its own sizes, and that of the next, where it may be the smaller one."""
-    most = size * 4 // 3
-    found = []
-    for band in (size.bit_length() - 1, size.bit_length()):
-        low, high = 1 << band, (2 << band) - 1
-        if most >= low:
-            found.append((band, high * 2 // 5 + 4, (size + min(high, most)) // 7))
-    return found
+def nearby(left: list[bytes], right: list[bytes], most: np.ndarray) -> np.ndarray:
+    """Whether each two sketches are ``differing`` in ``most`` bits or fewer; those of the same
+    lengths are compared at once."""
+    kept = np.zeros(len(left), bool)
+    lengths = np.array([(len(x), len(y)) for x, y in zip(left, right)], np.int64).reshape(-1, 2)
+    for a, b in np.unique(lengths, axis=0).tolist():
+        same = np.flatnonzero((lengths == (a, b)).all(axis=1))
+        for start in range(0, len(same), COMPARED):
+            at = same[start : start + COMPARED]
+            x, y = (np.frombuffer(b"".join([side[i] for i in at.tolist()]), np.uint64) for side in (left, right))
+            small = min(a, b) // 8
+            x, y = (np.bitwise_xor.reduce(side.reshape(len(at), -1, small), axis=1) for side in (x, y))
+            kept[at] = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64) <= most[at]
+    return kept
+
+
+def bands(sizes: np.ndarray):
+    """For both partitions that sets of these sizes may take part in, that of their own sizes
+    and that of the next, where they may be the smaller one: whether they do, band, segments
+    and most differing elements."""
+    most = sizes * 4 // 3
+    length = np.frexp(sizes.astype(np.float64))[1].astype(np.int64)
+    for band in (length - 1, length):
+        low, high = np.left_shift(1, band), np.left_shift(2, band) - 1
+        yield most >= low, band, high * 2 // 5 + 4, (sizes + np.minimum(high, most)) // 7
+
+
+class Common:
+    """The common elements, sorted, with a table by their first bits that few others are in."""
+
+    def __init__(self, elements: np.ndarray):
+        self.elements = elements
+        bits = min(24, 5 + max(1, len(elements)).bit_length())
+        self.shift = np.uint64(64 - bits)
+        self.table = np.zeros(1 << bits, bool)
+        self.table[elements >> self.shift] = True
+
+    def rare(self, elements: np.ndarray) -> np.ndarray:
+        """Which of the elements are not common."""
+        found = ~self.table[elements >> self.shift]
+        maybe = np.flatnonzero(~found)
+        if len(maybe):
+            place = np.searchsorted(self.elements, elements[maybe])
+            found[maybe] = self.elements[np.minimum(place, len(self.elements) - 1)] != elements[maybe]
+        return found
 
 
 def signatures(elements: np.ndarray, common: np.ndarray) -> np.ndarray:
     """The rows that a set indexes. ``common`` is sorted."""
-    if not len(elements):
-        return np.zeros(0, np.uint64)
-    place = np.searchsorted(common, elements)
-    rare = elements[common[np.minimum(place, len(common) - 1)] != elements] if len(common) else elements
-    found = []
-    for band, segments, most in bands(len(elements)):
-        at, content = _segments(rare, segments)
-        salt = np.array([band << 2], np.uint64)
-        found.append(_rows(at[: most + 1], content[: most + 1], segments, salt))
-        if len(at) > most:
-            continue
-        at, content, sizes, owner = _segments(elements, segments, whole=True)
-        left = content[owner] - mixed(elements)
-        several = sizes[owner] > 1
-        found.append(_rows(at, content, segments, salt + np.uint64(1)))
-        found.append(_rows(at[owner][several], left[several], segments, salt + np.uint64(1)))
-        if 2 * np.count_nonzero(sizes > 1) + np.count_nonzero(sizes == 1) <= most:
-            found.append(mixed(elements + mixed(salt + np.uint64(2))))
+    return signature_rows([elements], Common(common))[0] if len(elements) else np.zeros(0, np.uint64)
+
+
+def signature_rows(sets: list[np.ndarray], common: Common) -> tuple[np.ndarray, np.ndarray]:
+    """The rows that sets index, none of them empty, and the number of the set for each."""
+    sizes = np.array([len(elements) for elements in sets], np.int64)
+    rare, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    kept = common.rare(rare)
+    rare, owner = rare[kept], owner[kept]
+    hashed = mixed(rare)
+    found, owners = [], []
+    for takes, band, segments, most in bands(sizes):
+        salt = (band << 2).astype(np.uint64)
+        number = ((rare >> np.uint64(32)) * segments.astype(np.uint64)[owner]) >> np.uint64(32)
+        fresh = np.ones(len(number), bool)
+        fresh[1:] = (number[1:] != number[:-1]) | (owner[1:] != owner[:-1])
+        starts = np.flatnonzero(fresh)
+        content = np.add.reduceat(hashed, starts) if len(starts) else np.zeros(0, np.uint64)
+        number, whose = number[starts], owner[starts]
+        held = np.bincount(whose, minlength=len(sets))
+        place = np.arange(len(whose)) - (np.cumsum(held) - held)[whose]
+        taken = takes[whose] & (place <= most[whose])
+        number, content, whose = number[taken], content[taken], whose[taken]
+        found.append(_rows(number, content, segments.astype(np.uint64)[whose], salt[whose]))
+        owners.append(whose)
+        for i in np.flatnonzero(takes & (held <= most)).tolist():
+            found.append(_poor(sets[i], int(segments[i]), int(most[i]), salt[i : i + 1]))
+            owners.append(np.full(len(found[-1]), i))
+    return np.concatenate(found), np.concatenate(owners)
+
+
+def _poor(elements: np.ndarray, segments: int, most: int, salt: np.ndarray) -> np.ndarray:
+    """The rows that a poor set indexes besides."""
+    at, content, sizes, owner = _segments(elements, segments)
+    left = content[owner] - mixed(elements)
+    several = sizes[owner] > 1
+    found = [_rows(at, content, segments, salt + np.uint64(1))]
+    found.append(_rows(at[owner][several], left[several], segments, salt + np.uint64(1)))
+    if 2 * np.count_nonzero(sizes > 1) + np.count_nonzero(sizes == 1) <= most:
+        found.append(mixed(elements + mixed(salt + np.uint64(2))))
     return np.unique(np.concatenate(found))
 
 
-def _segments(elements: np.ndarray, segments: int, whole: bool = False):
-    """Numbers and contents (sums of mixed hashes) of the segments that are not empty."""
+def _segments(elements: np.ndarray, segments: int):
+    """Numbers, contents (sums of mixed hashes) and sizes of the segments that are not empty,
+    and which of them each element is in."""
     number = ((elements >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)
     fresh = np.ones(len(number), bool)
     fresh[1:] = number[1:] != number[:-1]
     starts = np.flatnonzero(fresh)
-    content = np.add.reduceat(mixed(elements), starts) if len(starts) else np.zeros(0, np.uint64)
-    if not whole:
-        return number[starts], content
+    content = np.add.reduceat(mixed(elements), starts)
     return number[starts], content, np.diff(np.append(starts, len(number))), np.cumsum(fresh) - 1
 
 
-def _rows(number: np.ndarray, content: np.ndarray, segments: int, salt: np.ndarray) -> np.ndarray:
-    return mixed(content ^ mixed(number + mixed(salt * np.uint64(0x9E3779B97F4A7C15) + np.uint64(segments))))
+def _rows(number: np.ndarray, content: np.ndarray, segments: int | np.ndarray, salt: np.ndarray) -> np.ndarray:
+    return mixed(content ^ mixed(number + mixed(salt * STEP + np.uint64(segments))))
 
 
 def _longs(values: np.ndarray) -> pa.Array:
@@ -171,8 +290,7 @@ def sets_of(docs: DataFrame, words: int = WORDS, share: float = COMMON) -> DataF
         names = ["doc_id", "n_shingles", "node", "sketch", "short", "row", "element", "held", "mark"]
         for batch in rows:
             counts, nodes, sketches, shorts = [], [], [], []
-            for text in batch.column(1).to_pylist():
-                own = shingles(text, words)
+            for own in chain.from_iterable(sets_in(batch.column(1), words)):
                 node = node_of(own)
                 counts.append(len(own))
                 nodes.append(node)
@@ -201,22 +319,20 @@ def indexed(docs: DataFrame, common: np.ndarray, words: int = WORDS) -> DataFram
     broadcast = docs.sparkSession.sparkContext.broadcast(common)
 
     def batches(rows):
-        known, seen = broadcast.value, set()
+        known, seen = Common(broadcast.value), set()
         for batch in rows:
-            for at in range(0, batch.num_rows, 512):
-                sigs, nodes = [], []
-                for text in batch.column(0).slice(at, 512).to_pylist():
-                    own = shingles(text, words)
+            for sets in sets_in(batch.column(0), words):
+                fresh = {}
+                for own in sets:
                     node = node_of(own)
-                    if node is None or node in seen:
-                        continue
-                    if len(seen) > SEEN:
-                        seen.clear()
-                    seen.add(node)
-                    sigs.append(signatures(own, known))
-                    nodes.append(np.full(len(sigs[-1]), node, np.int64))
-                if sigs:
-                    yield pa.RecordBatch.from_arrays([_longs(np.concatenate(sigs)), pa.array(np.concatenate(nodes))], ["sig", "node"])
+                    if node is not None and node not in seen:
+                        fresh[node] = own
+                        seen.add(node)
+                if len(seen) > SEEN:
+                    seen.clear()
+                if fresh:
+                    sigs, owner = signature_rows(list(fresh.values()), known)
+                    yield pa.RecordBatch.from_arrays([_longs(sigs), pa.array(np.array(list(fresh), np.int64)[owner])], ["sig", "node"])
 
     return docs.select("text").mapInArrow(batches, "sig long, node long")
 
@@ -229,9 +345,9 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int = W
 
     def near(rows):
         for batch in rows:
-            a, b, n_a, n_b = (batch.column(i).to_pylist() for i in (4, 5, 2, 3))
-            kept = [differing(x, y) <= (p + q) // 7 for x, y, p, q in zip(a, b, n_a, n_b)]
-            yield batch.select([0, 1, 6, 7]).filter(pa.array(kept, pa.bool_()))
+            a, b = (batch.column(i).to_pylist() for i in (4, 5))
+            n_a, n_b = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 3))
+            yield batch.select([0, 1, 6, 7]).filter(pa.array(nearby(a, b, (n_a + n_b) // 7), pa.bool_()))
 
     possible = pairs.join(side("a"), "a").join(side("b"), "b").filter("4 * least(n_a, n_b) >= 3 * greatest(n_a, n_b)")
     possible = possible.select("a", "b", "n_a", "n_b", "sketch_a", "sketch_b", "doc_a", "doc_b")
@@ -241,8 +357,7 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int = W
 
     def batches(rows):
         for batch in rows:
-            for at in range(0, batch.num_rows, 512):
-                own = [shingles(t, words) for t in batch.column(0).slice(at, 512).to_pylist()]
+            for own in sets_in(batch.column(0), words):
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([node_of(x) for x in own], pa.int64()), pa.array([x.tobytes() for x in own], pa.binary())], ["node", "elements"]
                 )
@@ -381,11 +496,26 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, marked: bool = False) -
         rows = buckets.select("sig", "node", "members").join(broadcast_if_small(labels, BROADCAST_ROWS), "node", "left")
         return rows.withColumn("label", F.coalesce("label", "node"))
 
-    # Then each node with the nearest one, by sketches, of each other component that it meets.
-    best = crowded(named(labels).filter(F.col("members") > SMALL), nodes, best=True)
-    best = best.groupBy("x", "label").agg(F.min(F.struct("distance", "y"))["y"].alias("y"))
-    best = best.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-    best = stored(best.join(tried, ["a", "b"], "left_anti"), "best")
+    # Then each node with the nearest one, by sketches, of each other component that it meets:
+    # first with the few nearest of these, as most of many near copies are connected by them,
+    # and after that only of the components that are left.
+    met = crowded(named(labels).filter(F.col("members") > SMALL), nodes, best=True)
+    met = met.groupBy("x", "label").agg(F.min(F.struct("distance", "y")).alias("near")).select("x", "near.*")
+    met = stored(met, "met")
+
+    def unordered(rows: DataFrame) -> DataFrame:
+        return rows.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+    place = F.row_number().over(Window.partitionBy("x").orderBy("distance", "y"))
+    nearest = unordered(met.withColumn("place", place).filter(F.col("place") <= NEAREST))
+    tried = stored(tried.unionByName(nearest.join(tried, ["a", "b"], "left_anti").withColumn("fresh", F.lit(True)), True), "tried")
+    fresh, tried = tried.filter("fresh").drop("fresh"), tried.drop("fresh")
+    labels = extended(labels, stored(verified(fresh, nodes, docs, words), "links"))
+    for side in "xy":
+        own = broadcast_if_small(labels, BROADCAST_ROWS).select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
+        met = met.join(own, side, "left").withColumn(f"label_{side}", F.coalesce(f"label_{side}", side))
+    best = met.filter("label_x <> label_y").groupBy("x", "label_y").agg(F.min(F.struct("distance", "y"))["y"].alias("y"))
+    best = stored(unordered(best).join(tried, ["a", "b"], "left_anti"), "best")
     labels = extended(labels, stored(verified(best, nodes, docs, words), "links"))
     # Then all pairs of nodes that share a row and are still not known to be connected.
     rows_left = named(labels)

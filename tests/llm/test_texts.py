@@ -376,6 +376,43 @@ def test_linked_sets_share_a_row(commonness):
         assert ngram_join.differing(ngram_join.sketch_of(a), ngram_join.sketch_of(b)) <= len(x ^ y)
 
 
+def test_sets_and_rows_are_those_of_each_text_alone():
+    """Texts are hashed together, whatever their lengths, next to which others they stand."""
+    texts = ["", None, " \t", "a", "A\x0bb", "ab\x00 c", "ab \x00c", "x " * 9, "w" * 64, "w" * 65, "w" * 7 + "v", "w" * 8, "w" * 9]
+    texts += [words(1, 300), words(1, 299), words(2, 4) + " \u00c9 \u00e9", "a b c d E", "a b c d e", "a b c d", "b c d e"]
+    encoded = [None if t is None else t.encode() for t in texts]
+    sets = ngram_join.shingle_sets(encoded)
+    alone = [ngram_join.shingle_sets([t])[0] for t in encoded]
+    assert all(np.array_equal(x, y) for x, y in zip(sets, alone))
+    column = ngram_join.pa.array(texts, "string")
+    for size in (1, 700):
+        runs = [x for run in ngram_join.sets_in(column, size=size) for x in run]
+        assert len(runs) == len(sets) and all(np.array_equal(x, y) for x, y in zip(runs, sets))
+    plain = []
+    for text in encoded:
+        parts = re.findall(rb"[^\x20\x09-\x0D]+", (text or b"").lower())
+        plain.append({tuple(parts[p : p + 5]) for p in range(max(1, len(parts) - 4))} if parts else set())
+    for i, x in enumerate(sets):
+        assert all(len(np.intersect1d(x, y)) == len(plain[i] & plain[j]) for j, y in enumerate(sets))
+    some = [x for x in sets if len(x)]
+    for common in (np.zeros(0, np.uint64), np.unique(np.concatenate(some))[::2]):
+        rows, owner = ngram_join.signature_rows(some, ngram_join.Common(common))
+        for i, x in enumerate(some):
+            assert np.array_equal(np.sort(rows[owner == i]), np.sort(ngram_join.signatures(x, common)))
+
+
+def test_sketches_are_compared_together_as_one_by_one(monkeypatch):
+    monkeypatch.setattr(ngram_join, "COMPARED", 3)
+    rnd = np.random.default_rng(5)
+    sketches = [ngram_join.sketch_of(rnd.integers(0, 2**63, n).astype(np.uint64)) for n in (0, 1, 60, 70, 130, 500, 900, 70_000)]
+    pairs = [(a, b) for a in sketches for b in sketches]
+    left, right = zip(*pairs)
+    for most in (0, 10, 60, 300):
+        found = ngram_join.nearby(left, right, np.full(len(pairs), most))
+        assert found.tolist() == [ngram_join.differing(a, b) <= most for a, b in pairs]
+    assert len(ngram_join.nearby([], [], np.zeros(0, np.int64))) == 0
+
+
 def test_near_duplicates_without_broadcasts(spark, odd, monkeypatch):
     monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 0)
     assert Counter(map(tuple, ngram_join.near_duplicates(odd).collect())) == plain_near(odd_texts())
