@@ -11,11 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lotwise.llm.bpe import split_pattern, vocabulary_path
-from lotwise.llm.common import by_value, numbered, stored, table
+from lotwise.llm.common import by_value, in_parts, numbered, stored, table
 from lotwise.llm.tokens import TreeEncoder
 
 CAPACITY = 1024
 END_ID = 2
+#: Segments kept per worker process (about 40 MB): short ones are cheap to encode again here.
+CACHE = 200_000
 
 
 def pieces_of(n: int, capacity: int) -> list[tuple[int, int]]:
@@ -46,8 +48,8 @@ def tokenized(
     special = added_tokens(vocabulary_path("byte_bpe_50k.json")) if special is None else tuple(special.items())
 
     def batches(rows):
-        encoder, end = TreeEncoder.of(ranks, pattern, True, special), np.array([end_id], "<u4").tobytes()
-        for batch in rows:
+        encoder, end = TreeEncoder.of(ranks, pattern, True, special, CACHE), np.array([end_id], "<u4").tobytes()
+        for batch in in_parts(rows):
             found = []
             for document, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids = encoder.encode(value or "") + end

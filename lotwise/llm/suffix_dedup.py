@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lotwise.llm.common import by_value, free_names, stored, table
+from lotwise.llm.common import by_value, free_names, in_parts, release_worker, stored, table
 from lotwise.llm.induced import Hashes, suffix_order
 
 SPAN, GRAM = 100, 32
@@ -35,6 +35,8 @@ COUNTERS, COMMON = 1 << 22, 0.005
 #: Bytes of regions sorted together, if their anchors allow it. Sorting takes some 70 bytes for
 #: each of them, in every task of an executor at once.
 SHARD = 1_500_000
+#: Documents whose bytes and regions are held at once.
+DOCUMENTS = 2048
 
 _PLACE = np.uint64((1 << 20) - 1)
 
@@ -163,8 +165,9 @@ def common_grams(texts: DataFrame) -> np.ndarray:
     share ``COMMON`` of the documents. Only an order follows from it, not a result."""
 
     def counted(rows):
+        release_worker()
         held, documents = np.zeros(COUNTERS, np.int32), 0
-        for batch in rows:
+        for batch in in_parts(rows, DOCUMENTS):
             encoded = [t.encode() for t in batch.column(0).to_pylist()]
             documents += len(encoded)
             for data, *_ in chunks(encoded):
@@ -190,10 +193,10 @@ def repeated(texts: DataFrame) -> DataFrame:
         common = np.unpackbits(broadcast.value)[:COUNTERS]
         for batch in rows:
             a, b = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 1))
-            for at in range(0, batch.num_rows, 2048):
-                encoded = [t.encode() for t in batch.column(2).slice(at, 2048).to_pylist()]
+            for at in range(0, batch.num_rows, DOCUMENTS):
+                encoded = [t.encode() for t in batch.column(2).slice(at, DOCUMENTS).to_pylist()]
                 document, start, stop, anchor, content = regions(encoded, common)
-                da, db = a[at : at + 2048][document], b[at : at + 2048][document]
+                da, db = a[at : at + DOCUMENTS][document], b[at : at + DOCUMENTS][document]
                 # Equal regions meet here already: later ones need no grouping, so they are
                 # spread by a key of their own.
                 order = np.lexsort((start, db, da, content, anchor))
@@ -244,8 +247,9 @@ def repeated(texts: DataFrame) -> DataFrame:
     def sorted_shards(rows):
         """Anchors follow one another; regions are gathered up to ``SHARD`` bytes, or to the
         end of an anchor whose regions are more than that."""
+        release_worker()
         shard, size, last = [], 0, None
-        for batch in rows:
+        for batch in in_parts(rows):
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if size > SHARD and row[0] != last:
                     yield spans(shard)
@@ -337,7 +341,8 @@ def deduplicated(docs: DataFrame) -> DataFrame:
     stays valid: characters of which only some bytes repeat are kept whole."""
 
     def cut(rows):
-        for batch in rows:
+        release_worker()
+        for batch in in_parts(rows):
             texts = []
             for text, spans in zip(batch.column(0), batch.column(1)):
                 runs = _runs(spans)

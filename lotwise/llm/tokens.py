@@ -80,7 +80,7 @@ class TreeEncoder(dict):
 
     def __init__(
         self, ranks_path: str, pattern: str, leaf: int = LEAF, short_match: int = SHORT_MATCH, library: bool = False,
-        special: dict[str, int] | None = None,
+        special: dict[str, int] | None = None, cache: int = CACHE,
     ):
         import regex
 
@@ -96,7 +96,7 @@ class TreeEncoder(dict):
         self.written_ids = pa.array([f"{i}," if token is not None else None for i, token in enumerate(known)], pa.binary())
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
         self.pattern = regex.compile(pattern)
-        self.leaf, self.short_match = max(2, leaf), max(2, short_match)
+        self.leaf, self.short_match, self.cache = max(2, leaf), max(2, short_match), cache
         self.base = None
         if library:
             import tiktoken
@@ -120,14 +120,16 @@ class TreeEncoder(dict):
         self.joins, self.halves = 0, 0
 
     @staticmethod
-    def of(ranks_path: str, pattern: str, library: bool = False, special: tuple[tuple[str, int], ...] = ()) -> TreeEncoder:
+    def of(
+        ranks_path: str, pattern: str, library: bool = False, special: tuple[tuple[str, int], ...] = (), cache: int = CACHE
+    ) -> TreeEncoder:
         """The worker process's encoder."""
-        key = ("bpe", ranks_path, pattern, library, special)
-        return per_worker(key, lambda: TreeEncoder(ranks_path, pattern, library=library, special=dict(special)))
+        key = ("bpe", ranks_path, pattern, library, special, cache)
+        return per_worker(key, lambda: TreeEncoder(ranks_path, pattern, library=library, special=dict(special), cache=cache))
 
     def __missing__(self, after_space: str) -> bytes:
         ids = self._segment(" " + after_space)
-        if len(self) < CACHE and len(after_space) < 64:
+        if len(self) < self.cache and len(after_space) < 64:
             self[after_space] = ids
         return ids
 
@@ -202,7 +204,7 @@ class TreeEncoder(dict):
         if known is None:
             ids = self._piece(match.encode())
             known = struct.pack(f"<{len(ids)}I", *ids)
-            if len(self.matches) < CACHE and len(match) < 64:
+            if len(self.matches) < self.cache and len(match) < 64:
                 self.matches[match] = known
         return known
 

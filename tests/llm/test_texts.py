@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -116,6 +117,31 @@ def test_ids_are_those_of_the_tokenizers_file():
         assert np.frombuffer(tree.encode(text), "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
 
 
+def test_an_encoder_keeps_no_more_segments_than_it_may():
+    paths = bpe.vocabulary_path("byte_bpe_50k.tiktoken"), bpe.split_pattern()
+    few, many = TreeEncoder(*paths, library=True, cache=2), TreeEncoder(*paths, library=True)
+    for text in [words(i, 50) for i in range(5)]:
+        assert few.encode(text) == many.encode(text)
+    assert len(few) == 2 < len(many)
+
+
+def test_texts_of_a_large_batch_are_taken_in_parts(spark, odd, monkeypatch):
+    """What a task makes of 1,300 texts in one batch comes in slices: it never holds them all."""
+    tasks, kind = [], type(odd)
+    real = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda self, f, *args: tasks.append(f) or real(self, f, *args))
+    texts = [words(i, 5) for i in range(1300)]
+    packing.tokenized(odd)
+    made = list(tasks[-1](iter([pa.record_batch([pa.array(range(1300)), pa.array(texts)], ["_key", "_text"])])))
+    assert [b.num_rows for b in made] == [512, 512, 276]
+    assert [k for b in made for k in b.column(0).to_pylist()] == list(range(1300))
+    suffix_dedup.deduplicated(odd.select("doc_id", "text"))
+    spans = pa.array([[(0, 1)]] + [None] * 1299, pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])))
+    made = list(tasks[-1](iter([pa.record_batch([pa.array(texts), spans, pa.array(range(1300))], ["text", "spans", "doc_id"])])))
+    assert [b.num_rows for b in made] == [512, 512, 276]
+    assert [t for b in made for t in b.column(0).to_pylist()] == [texts[0][1:], *texts[1:]]
+
+
 def check_packing(rows, expected, capacity):
     """Pieces are the expected ones and lie gapless in sequences."""
     assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == expected
